@@ -102,3 +102,150 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     found = connected_components(fingerprint_links(heads.where("head is not null"), radius))
     classes = heads.join(found.withColumnRenamed("node", "head"), "head", "left").select("fp", F.coalesce("component", "head").alias("component_id"), "class_size")
     return fps.join(classes, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_size")
+
+
+# Near-duplicates by shingle similarity. A similarity of 0.8 leaves two 64-bit fingerprints some ten bits apart, where no grid
+# is selective. So cells come from samples: a band is the fingerprint of the SAMPLE smallest hashes of a text's shingles
+# under a permutation, and two texts share it with probability similarity ** SAMPLE. Inside a cell pairs are
+# bounded by the wide fingerprint, first by segment counts, then by bits; what remains is verified on the shingle sets.
+NEAR_SHINGLE, SIMILARITY = 5, 0.8
+BANDS, SAMPLE = 10, 3
+#: Words of the wide fingerprint, 64 bits each.
+WIDE = 4
+SKETCH = "fp array<long>, bands array<long>"
+_ODD = np.random.default_rng(SEED).integers(1 << 32, 1 << 63, size=(BANDS + WIDE, 2), dtype=np.uint64) | np.uint64(1)
+
+
+def shingle_set(text: bytes, shingle: int = NEAR_SHINGLE) -> np.ndarray:
+    """Distinct XXH64 of the word shingles, sorted; a text of fewer words is one shingle, one without words has none."""
+    from xxhash import xxh64_intdigest
+
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    n = max(1, len(words) - shingle + 1)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts, stops = np.concatenate(([0], ends[: n - 1])).tolist(), (ends[len(words) - n :] - 1).tolist()
+    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=n))
+
+
+def _permuted(h: np.ndarray, k: int) -> np.ndarray:
+    x = (h ^ _ODD[k, 0]) * _ODD[k, 1]
+    return x ^ (x >> np.uint64(31))
+
+
+def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The wide fingerprint of a shingle set, and its bands; a set without shingles has no bands."""
+    fp = np.zeros(WIDE, dtype=np.uint64)
+    for k in range(WIDE):
+        total = np.zeros(64, dtype=np.int64)
+        for a in range(0, len(h), 65536):
+            part = (_permuted(h[a : a + 65536], BANDS + k)).astype(">u8")
+            total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        fp[k] = int.from_bytes(np.packbits(2 * total > len(h)).tobytes(), "big")
+    bands = np.empty(BANDS if len(h) else 0, dtype=np.uint64)
+    for k in range(len(bands)):
+        x = _permuted(h, k)
+        least = np.sort(np.partition(x, SAMPLE - 1)[:SAMPLE] if len(x) > SAMPLE else x)
+        mixed = np.uint64(k + 1)
+        for v in least:
+            mixed = (mixed ^ v) * _ODD[0, 1]
+            mixed ^= mixed >> np.uint64(29)
+        bands[k] = mixed
+    return fp.view(np.int64), bands.view(np.int64)
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits of the wide fingerprint that a pair of this similarity stays under: the expected number and four deviations."""
+    cosine = 2 * similarity / (1 + similarity)
+    p, n = np.arccos(cosine) / np.pi, 64 * WIDE
+    return int(np.ceil(n * p + 4 * np.sqrt(n * p * (1 - p))))
+
+
+def _bytes_of_text():
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, bands) of the rows that have an id."""
+
+    @F.pandas_udf(SKETCH)
+    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        with np.errstate(over="ignore"):
+            for texts in batches:
+                rows = [sketch(shingle_set(t)) for t in texts]
+                yield pd.DataFrame({"fp": [r[0] for r in rows], "bands": [r[1] for r in rows]})
+
+    return docs.where("doc_id is not null").select("doc_id", sketched(_bytes_of_text()).alias("s")).select("doc_id", "s.fp", "s.bands")
+
+
+def _within(a: str, b: str, bits: int):
+    """The Manhattan bound on the segment counts of the first word, then the Hamming distance of all."""
+    low = F.bit_count(embedding(F.col(f"{a}.fp")[0]).bitwiseXOR(embedding(F.col(f"{b}.fp")[0]))) <= bits
+    apart = sum((F.bit_count(F.col(f"{a}.fp")[k].bitwiseXOR(F.col(f"{b}.fp")[k])) for k in range(1, WIDE)), F.bit_count(F.col(f"{a}.fp")[0].bitwiseXOR(F.col(f"{b}.fp")[0])))
+    return low & (apart <= bits)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Of distinct pairs (a, b) those whose shingle sets reach the similarity. Only texts in a pair are read again."""
+
+    @F.pandas_udf("binary")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shingle_set(t).tobytes() for t in texts])
+
+    @F.pandas_udf("double")
+    def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right, strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(common / max(1, len(x) + len(y) - common))
+            yield pd.Series(out, dtype="float64")
+
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = materialize(docs.select("doc_id", _bytes_of_text().alias("text")).join(ids, "doc_id", "left_semi").select("doc_id", packed("text").alias("set")))
+    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
+    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
+    return both.where(jaccard("x", "y") >= similarity - 1e-12).select("a", "b").distinct()
+
+
+def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, component_id) of the documents that have a near-duplicate.
+
+    Links join documents whose sets of five-word shingles have a Jaccard similarity of `similarity` or more; component_id is the
+    smallest doc_id reachable. In a first round each cell's members are held against its smallest id only, which settles
+    dense groups in as many pairs as they have members. In a second round pairs inside a cell are compared only if their
+    components still differ, so no group is expanded into all its pairs. Rows that share a doc_id count as one
+    document; null ids and texts without words link to nothing; an empty table gives no rows.
+    """
+    bits = most_bits(similarity)
+    rows = materialize(sketches(docs))
+    cells = materialize(rows.select("doc_id", "fp", F.posexplode("bands").alias("band", "cell")).join(_shared_cells(rows), ["band", "cell"], "left_semi"))
+    heads = cells.groupBy("band", "cell").agg(F.min_by(F.struct("doc_id", "fp"), "doc_id").alias("head")).select("band", "cell", F.col("head.doc_id").alias("doc_id"), F.col("head.fp").alias("fp"))
+    m, h = cells.alias("m"), heads.alias("h")
+    same = (F.col("m.band") == F.col("h.band")) & (F.col("m.cell") == F.col("h.cell"))
+    star = m.join(h, same & (F.col("h.doc_id") < F.col("m.doc_id")) & _within("m", "h", bits)).select(F.col("h.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
+    links = materialize(verified(materialize(star), docs, similarity))
+    first = connected_components(links)
+    known = cells.join(first.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "fp", "band", "cell", F.coalesce("component", "doc_id").alias("component"))
+    x, y = known.alias("x"), known.alias("y")
+    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.cell") == F.col("y.cell"))
+    rest = x.join(y, same & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component")) & _within("x", "y", bits)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    more = verified(materialize(rest.join(star, ["a", "b"], "left_anti")), docs, similarity)
+    found = connected_components(links.union(more))
+    return found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+
+
+def _shared_cells(rows: DataFrame) -> DataFrame:
+    """Cells with two members or more; counted with a partial sum, so a hot cell is one row for each task."""
+    return rows.select(F.posexplode("bands").alias("band", "cell")).groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "cell")
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """docs with its own columns, and of each near-duplicate component only the document with the smallest doc_id."""
+    gone = near_duplicate_components(docs, similarity).where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return packed.join(gone, F.col("row.doc_id") == gone["gone"], "left_anti").select("row.*")
