@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
+import zlib  # crc32 only
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text in a chunk; a longer text is a chunk of its own.
-CHUNK = 6_000_000
+CHUNK = 20_000_000
 CHUNK_SCHEMA = "chunk long, bucket int, payload binary"
 OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
@@ -63,12 +63,16 @@ def _encoder(path: str, pattern: str):
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    import zstandard
+
     parts = [a.tobytes() for a in arrays]
-    return zlib.compress(b"".join([np.array([len(parts), *map(len, parts)], dtype=np.int64).tobytes(), *parts]), 1)
+    return zstandard.ZstdCompressor(level=9).compress(b"".join([np.array([len(parts), *map(len, parts)], dtype=np.int64).tobytes(), *parts]))
 
 
 def _unpack(payload: bytes, *kinds) -> list[np.ndarray]:
-    raw = zlib.decompress(payload)
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(payload)
     n = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
     sizes, at, out = np.frombuffer(raw, dtype=np.int64, count=n, offset=8), 8 * (n + 1), []
     for size, kind in zip(sizes.tolist(), kinds, strict=True):
@@ -86,17 +90,19 @@ def _chunked(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int) -> I
     ids, counts, numbers, known, size = [], [], [], {}, 0
 
     def rows() -> pa.RecordBatch:
-        words = [w.encode() for w in known]
-        bucket = np.array([zlib.crc32(w) % buckets for w in words], dtype=np.int64)
-        order = np.argsort(bucket, kind="stable")  # words are numbered by bucket, so that no numbers travel with them
+        words, flat = [w.encode() for w in known], np.concatenate(numbers)
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")  # frequent words get small numbers, which pack well
         place = np.empty(len(words), dtype=np.uint32)
         place[order] = np.arange(len(words), dtype=np.uint32)
-        flat = place[np.concatenate(numbers)] if numbers else np.empty(0, dtype=np.uint32)
+        flat = place[flat]
         out = [(-1, _pack(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], dtype=np.int64), np.array(counts, dtype=np.int64), flat.astype(np.uint16), (flat >> 16).astype(np.uint8)))]
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        bucket = np.array([zlib.crc32(words[k]) % buckets for k in order.tolist()], dtype=np.int64)
+        by = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)).tolist():
-            own = [words[k] for k in order[cuts[b] : cuts[b + 1]].tolist()]
-            out.append((b, _pack(np.frombuffer(b"".join(own), dtype=np.uint8), np.cumsum([len(w) for w in own]))))
+            own = by[cuts[b] : cuts[b + 1]]  # numbers, ascending
+            named = [words[k] for k in order[own].tolist()]
+            out.append((b, _pack(np.diff(own, prepend=0).astype(np.uint32), np.frombuffer(b"".join(named), dtype=np.uint8), np.array([len(w) for w in named], dtype=np.uint32))))
         return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(out), pa.int64()), "bucket": pa.array([b for b, _ in out], pa.int32()), "payload": pa.array([p for _, p in out], pa.binary())})
 
     for batch in batches:
@@ -128,15 +134,16 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iter
             if bucket >= 0:
                 if bucket != now:
                     memo, now = {}, bucket
-                data, ends = _unpack(payload, np.uint8, np.int64)
+                steps, data, sizes = _unpack(payload, np.uint32, np.uint8, np.uint32)
                 raw, ids, start = data.tobytes(), [], 0
-                for end in ends.tolist():
+                for end in np.cumsum(sizes).tolist():
                     word = raw[start:end]
                     if word not in memo:
                         memo[word] = np.array(piece(word), dtype="<u4").tobytes()
                     ids.append(memo[word])
                     start = end
-                payload = _pack(np.frombuffer(b"".join(ids), dtype=np.uint32), np.cumsum([len(x) // 4 for x in ids]))
+                flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
+                payload = _pack(steps, flat.astype(np.uint16), (flat >> 16).astype(np.uint8), np.array([len(x) // 4 for x in ids], dtype=np.uint32))
             out.append(payload)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["chunk", "bucket", "payload"])
 
@@ -145,17 +152,23 @@ def _texts(table: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of a chunk's texts in their order."""
     rows = sorted(zip(table.column("bucket").to_pylist(), range(table.num_rows), strict=True))
     payload = table.column("payload")
-    data, sizes, header = [], [], None
+    data, sizes, places, header = [], [], [], None
     for bucket, k in rows:
         if bucket < 0:
             header = _unpack(payload[k].as_py(), bool, np.int64, np.int64, np.uint16, np.uint8)
         else:
-            ids, ends = _unpack(payload[k].as_py(), np.uint32, np.int64)
-            data.append(ids)
-            sizes.append(np.diff(ends, prepend=0))
-    words = _Ragged(np.concatenate(data), np.cumsum(np.concatenate(sizes))) if data else None
+            steps, low, high, n = _unpack(payload[k].as_py(), np.uint32, np.uint16, np.uint8, np.uint32)
+            data.append(low.astype(np.uint32) | (high.astype(np.uint32) << 16))
+            sizes.append(n.astype(np.int64))
+            places.append(np.cumsum(steps.astype(np.int64)))
     null, doc_ids, counts, low, high = header
     flat, at = low.astype(np.uint32) | (high.astype(np.uint32) << 16), 0
+    words = None
+    if data:  # numbers run over the buckets; row is where a number's ids are
+        words, where = _Ragged(np.concatenate(data), np.cumsum(np.concatenate(sizes))), np.concatenate(places)
+        row = np.empty(len(where), dtype=np.uint32)
+        row[where] = np.arange(len(where), dtype=np.uint32)
+        flat = row[flat]
     for missing, doc_id, count in zip(null.tolist(), doc_ids.tolist(), counts.tolist(), strict=True):
         yield None if missing else doc_id, words.gather(flat[at : at + count])[0] if count else np.empty(0, dtype=np.uint32)
         at += count
