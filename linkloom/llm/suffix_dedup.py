@@ -26,7 +26,9 @@ from .common import materialize, whole_text
 LENGTH = 100
 GRAM = 32
 #: Bytes of text in a chunk, in one hashing step, and windows in one sorting step.
-CHUNK, STEP, WINDOWS = 4_000_000, 200_000, 400_000
+CHUNK, STEP, WINDOWS = 4_000_000, 200_000, 120_000
+#: Buckets for each shuffle partition: a bucket is sorted in one piece, so this bounds a task's memory.
+BUCKETS = 4
 #: An anchor that occurs more often is hot: its windows travel one by one to the bucket of their own hash.
 HOT = 3_000
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xBF58476D1CE4E5B9)
@@ -279,8 +281,8 @@ def equal_classes(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
     same = g[1:] == g[:-1]
     same[same] = common_extension(p, s[1:][same], s[:-1][same], length) == length
     k, offsets = np.flatnonzero(same), np.arange(length)
-    for a in range(0, len(k), 50_000):  # collision verification
-        part = k[a : a + 50_000]
+    for a in range(0, len(k), 10_000):  # collision verification
+        part = k[a : a + 10_000]
         same[part] = (data[s[part + 1][:, None] + offsets] == data[s[part][:, None] + offsets]).all(axis=1)
     return order, np.concatenate(([0], np.cumsum(~same)))
 
@@ -396,12 +398,14 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chun
     oid = F.coalesce("doc_id", F.lit(LAST))
     sums = materialize(text.select("doc_id", F.xxhash64("text").alias("tie"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), F.octet_length("text").cast("long").alias("size")))
     total = sums.agg(F.sum("size")).first()[0] or 0
-    chunks, buckets = max(1, -(-total // chunk_bytes)), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks, partitions = max(1, -(-total // chunk_bytes)), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * partitions
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
-    firsts = sums.where(F.col("size") >= length).groupBy("digest").agg(F.min(oid).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
+    # written, so that the join stands between two exchanges and a hot digest can be split
+    firsts = materialize(sums.where(F.col("size") >= length).groupBy("digest").agg(F.min(oid).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"))
     pair = F.unhex(F.concat(*[F.concat_ws("", *[F.substring(F.lpad(F.hex(c), 16, "0"), 2 * k + 1, 2) for k in reversed(range(8))]) for c in (oid, F.col("tie"))]))
     copies = sums.join(firsts, "digest").where(oid > F.col("first")).select(chunk, F.lit(0).alias("kind"), pair.alias("payload"))
-    base = text.select(chunk, "doc_id", F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("body")).repartition(buckets, "chunk")
+    base = text.select(chunk, "doc_id", F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("body")).repartition(partitions, "chunk")
 
     def cogrouped(right: DataFrame, f, schema: str) -> DataFrame:
         return base.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(f, schema)
