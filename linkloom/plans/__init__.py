@@ -1 +1 @@
-
+"""Operators put together: training, prediction, profiles, experiments."""
