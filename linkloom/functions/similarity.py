@@ -116,7 +116,7 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter string and any stretch of the longer one of at most its length."""
+    """The best ratio of the shorter string and a stretch of the longer one that has its length, or less at either end of the longer one."""
     if not a or not b:
         return float(a == b)
     if len(a) > len(b):

@@ -47,7 +47,7 @@ def _scored(spark: SparkSession, sf_dir: str):
 
 
 def _rich(spark: SparkSession, sf_dir: str):
-    s1, pool, truth = adapters.trade(spark, sf_dir)
+    s1, pool, truth = adapters.directory(spark, sf_dir)
     return rich_text.prepare(s1), rich_text.prepare(pool), truth
 
 
@@ -142,7 +142,7 @@ def decision_production(spark, d):
     return decision.production_decision(_scored(spark, d)[0], THRESHOLD)
 
 
-_SWEEP = f"""grid as (select unnest([{', '.join(map(str, decision.COARSE))}]) as threshold), hits as (select s.*, (t.s1_id is not null)::int as hit from scored s left join truth t on t.s1_id = rid and t.entity_id = gid),
+_SWEEP = f"""grid as (select unnest([{', '.join(map(str, decision.COARSE))}]::double[]) as threshold), hits as (select s.*, (t.s1_id is not null)::int as hit from scored s left join truth t on t.s1_id = rid and t.entity_id = gid),
   per as (select threshold, e.rid, n_truth, coalesce(tp, 0) as tp, coalesce(n_pred, 0) as n_pred from (select threshold, s1.entity_id as rid, (select count(*) from truth t where t.s1_id = s1.entity_id) as n_truth from grid, s1) e
     left join (select threshold, rid, count(*) as n_pred, sum(hit) as tp from grid join hits on p >= least(threshold, 0.995) group by threshold, rid) g using (threshold, rid))"""
 
@@ -374,7 +374,7 @@ def profile_characters(spark, d):
 
 @query(oracle.rich_query("select sum(len(numbers))::bigint as numeric_token_total, count(*) filter (len(postals) > 0) as records_with_postal_like from pool"))
 def profile_address_numbers(spark, d):
-    raw = adapters.trade(spark, d)[1]
+    raw = adapters.directory(spark, d)[1]
     return profile.address_numbers(raw.select(rich_text.numbers(F.col("business_address")).alias("numbers"), rich_text.postal_candidates(F.col("business_address")).alias("postals")))
 
 

@@ -8,7 +8,7 @@ from ..functions.text import duck_prepare
 from ..operators.blocking import BLOCKS, MAX_CANDIDATES, PREFIX_BLOCKS
 from ..operators.features import DIGITS, FEATURES, RULE
 from ..operators.retrieval import RARE, SHORTEST, TOP
-from ..sources.adapters import CLEAN, NOISY, TRUTH
+from ..sources.adapters import CLEAN, DIRECTORY_CLEAN, DIRECTORY_NOISY, DIRECTORY_TRUTH, NOISY, TRUTH
 
 RECORDS = f"""
   clean as ({CLEAN}), noisy as ({NOISY}), truth as ({TRUTH}),
@@ -138,7 +138,7 @@ def rich(relation: str, keep: str) -> str:
     return f"select * exclude (kept, name_solid, addr_solid, numbers), numbers, list_filter(kept, lambda w, i: i = 1 or kept[i - 1] <> w) as core_tokens, {_GRAMS.format('name_solid')} as name_grams, {_GRAMS.format('addr_solid')} as addr_grams, {_POSTALS} as postals, coalesce(nullif(ltrim(numbers[1], '0'), ''), case when len(numbers) > 0 then '0' else '' end) as house from ({steps})"
 
 
-RICH = f"clean as ({CLEAN}), noisy as ({NOISY}), truth as ({TRUTH}), s1 as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('clean', 'entity_id')})), pool as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('noisy', 'entity_id, source')}))"
+RICH = f"clean as ({DIRECTORY_CLEAN}), noisy as ({DIRECTORY_NOISY}), truth as ({DIRECTORY_TRUTH}), s1 as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('clean', 'entity_id')})), pool as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('noisy', 'entity_id, source')}))"
 EVERYONE = "everyone as (select name, addr, name_tokens, addr_tokens from s1 union all select name, addr, name_tokens, addr_tokens from pool)"
 
 
