@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -208,7 +209,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     """
 
     @F.pandas_udf("binary")
-    def joined(batches):
+    def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = _bytes_of(path)
         for ids in batches:
             yield ids.map(lambda x: b"" if x is None or not len(x) else table.gather(np.asarray(x, dtype=np.int64))[0].tobytes())

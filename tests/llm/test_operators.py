@@ -172,7 +172,9 @@ def test_findings_and_places(spark, forest):
     ]
 
 
-def test_planted_tokens_are_found_and_masked(spark, sf, whole, forest):
+def test_planted_tokens_are_found_and_masked(spark, forest):
+    sf = "/root/testdata/sf0.01"
+    whole = [tuple(r) for r in common.documents(spark, sf).select("doc_id", "text").collect()]
     planted = {(i, m.start(1), m.end(1)) for i, t in whole for m in re.finditer(r'token = "([0-9a-f]{40})"', t)}
     found = {(r.doc_id, r.start, r.end) for r in secret_scan.secret_findings(docs(spark, whole), forest).where("is_secret").collect()}
     assert planted and planted <= found
@@ -204,9 +206,10 @@ def test_base_spans_equal_brute_force(spark, whole):
 
 
 def test_method_adds_spans(spark):
-    rows = [(k, f"please call (415) 555-{1000 + k} today; mail to ann{k} [at] site [dot] org") for k in range(40)] + [(99, "order 415-555-1234 version")]
+    rows = [(k, f"please call (415) 555-{1000 + k} today; mail to ann{k} [at] site [dot] org") for k in range(40)] + [(100 + k, f"order 415-555-{2000 + k} shipped") for k in range(40)]
     spans = {r.doc_id: r.spans for r in pii.pii_spans(docs(spark, rows)).collect()}
-    assert all("phone:" in spans[k] and "email:" in spans[k] for k in range(40)) and spans[99] == ""
+    assert all("phone:" in spans[k] and "email:" in spans[k] for k in range(40))
+    assert not any(spans[100 + k] for k in range(40))
 
 
 def test_expectation_maximisation_finds_reliable_labelers():
