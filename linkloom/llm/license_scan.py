@@ -53,7 +53,8 @@ def token_counts(docs: DataFrame) -> dict[bytes, int]:
         for batch in batches:
             for text in batch["text"]:
                 n.update(vocabulary.intersection(words_of(text)))
-        yield pd.DataFrame({"token": list(n), "n": list(n.values())})
+        if n:
+            yield pd.DataFrame({"token": list(n), "n": list(n.values())})
 
     rows = docs.select(_bytes().alias("text")).mapInPandas(counted, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     return dict.fromkeys(vocabulary, 0) | {bytes(r["token"]): r["n"] for r in rows}

@@ -194,6 +194,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
                     key = zlib.crc32(f"{text[max(0, a - 40):b]}".encode())
                     item = (-key, [float(x) for x in _inputs(v, kind, base, text[a:b])], list(v))
                     heapq.heappush(kept, item) if len(kept) < sample // 20 else heapq.heappushpop(kept, item)
+        if not seen:
+            return
         yield pd.DataFrame({"votes": [list(v) for v in seen], "n": list(seen.values()), "x": [None] * len(seen), "key": [0] * len(seen)})
         yield pd.DataFrame({"votes": [v for _, _, v in kept], "n": [0] * len(kept), "x": [x for _, x, _ in kept], "key": [-k for k, _, _ in kept]})
 

@@ -132,7 +132,8 @@ def _beginnings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = set(fold(text).split())
             seen[toxic].update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
     names = list(seen[0].keys() | seen[1].keys())
-    yield pd.DataFrame({"entry": names, "toxic": [seen[1][x] for x in names], "clean": [seen[0][x] for x in names]})
+    if names:
+        yield pd.DataFrame({"entry": names, "toxic": [seen[1][x] for x in names], "clean": [seen[0][x] for x in names]})
 
 
 def _chosen(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:

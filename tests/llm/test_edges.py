@@ -87,3 +87,11 @@ def test_tree_shape_does_not_matter(fan_in, spark):
     for k in range(400):
         by.setdefault(k % 7 if k % 3 else 0, []).append(k)
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in rows} == {(k, min(g), len(g), k == min(g)) for g in by.values() for k in g}
+
+
+def test_partitions_without_anything_to_count(spark):
+    plain = docs(spark, [(k, "") for k in range(6)]).repartition(6)
+    assert pii.pii_spans(plain).count() == 6 and license_scan.license_scan(plain).count() == 6
+    labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id long, toxic int")
+    assert toxicity.toxicity_scores(plain, toxicity.fit(plain, labels)).count() == 6
+    assert pii.pii_spans(plain.limit(0)).count() == 0 and license_scan.license_scan(plain.limit(0)).count() == 0
