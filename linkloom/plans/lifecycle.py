@@ -36,8 +36,11 @@ def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 40
     train_ids, held_ids = split.where("split = 'train'").select("entity_id"), split.where("split = 'validation'").select("entity_id")
     own = truth.join(train_ids.withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi")
     inside = found.join(train_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
-    rows = sampling.labelled(features.pair_features(sampling.inject_positives(inside, own, right), left, right), own)
-    fitted = model.train(sampling.global_cap(sampling.sample_negatives(rows)), features.FEATURES, iterations)
+    rows = sampling.sample_negatives(sampling.labelled(features.pair_features(sampling.inject_positives(inside, own, right), left, right), own)).persist()
+    try:  # counted, cut and read by every tree
+        fitted = model.train(sampling.global_cap(rows), features.FEATURES, iterations)
+    finally:
+        rows.unpersist()
     held = found.join(held_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
     scored = model.score(fitted, features.pair_features(held, left, right)).persist()
     try:
