@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rich_text, text
 from ..functions.similarity import ratios
 from ..operators import blocking, checks, decision, evaluation, features, ids, model, profile, retrieval, rich_features, sampling
 from ..session import table
-from ..sources import adapters
+from ..sources import adapters, synthetic
 from ..sources.tsv import id_lists
-from . import lifecycle, oracle
+from . import experiments, lifecycle, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -505,3 +505,34 @@ def calibrated_scores(spark, d):
     rows = sampling.labelled(scored, truth).persist()
     kind, fitted, _ = model.best_calibrator(rows, truth, s1)
     return _round(model.calibrate(kind, fitted, rows).select("rid", "gid", "source", "p").withColumn("calibrator", F.lit(kind)), 4)
+
+
+# Experiments, stores, synthetic lists
+_VARIANTS = {"A conservative": {"threshold": 0.9}, "B balanced": {"threshold": THRESHOLD}, "C adaptive": {"threshold": 0.75}, "D best validation": {"threshold": THRESHOLD}, "E top only": {"threshold": THRESHOLD, "top_only": True}}
+
+
+def _variant_sql(name: str, options: dict) -> str:
+    inner = oracle.upto("scored", f"select '{name}' as variant, round(avg(f05), 6) as macro_f05 from scores", f"{oracle.accepted(**options)}, {oracle.JUDGED}, {oracle.SCORES}")
+    return f"select * from ({inner})"
+
+
+@query(" union all ".join(_variant_sql(n, o) for n, o in _VARIANTS.items()))
+def variants(spark, d):
+    scored, s1, _, truth = _scored(spark, d)
+    return _round(experiments.variants(scored, truth, s1, BASE))
+
+
+@query(oracle.records("select s.entity_id as rid, c.entity_id as gid from s1 s join (select *, row_number() over (partition by name_core, country order by entity_id) as k from pool where name_core <> '') c using (name_core, country) where k <= 200"))
+def index_lookup(spark, d):
+    """The stored index's look-up by core name and country, for all clean records at once."""
+    s1, pool, _ = _prepared(spark, d)
+    order = Window.partitionBy("name_core", "country").orderBy("entity_id")
+    right = pool.where("name_core <> ''").withColumn("k", F.row_number().over(order)).where("k <= 200").select("name_core", "country", F.col("entity_id").alias("gid"))
+    return s1.select("name_core", "country", F.col("entity_id").alias("rid")).join(right, ["name_core", "country"]).select("rid", "gid")
+
+
+@query()
+def synthetic_matching(spark, d):
+    """The synthetic lists, one clean record for each customer, through blocking, the rule score and the decision."""
+    s1, pool, _ = synthetic.synthetic(spark, table(spark, d, "customer").count())
+    return id_lists(s1, decision.accepted(lifecycle.rule_scores(s1, pool), BASE), "matched_entity_ids")

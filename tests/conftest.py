@@ -14,6 +14,7 @@ def spark():
     from linkloom.session import local_session, ship
 
     session = local_session(4, "3g")
+    session.conf.set("spark.sql.shuffle.partitions", "2")  # small tables: a task costs more than its rows
     ship(session)
     yield session
     session.stop()
