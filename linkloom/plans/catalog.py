@@ -48,7 +48,7 @@ def _scored(spark: SparkSession, sf_dir: str):
 
 def _rich(spark: SparkSession, sf_dir: str):
     s1, pool, truth = adapters.directory(spark, sf_dir)
-    return rich_text.prepare(s1), rich_text.prepare(pool), truth
+    return rich_text.prepare(s1).persist(), rich_text.prepare(pool).persist(), truth  # read by every block
 
 
 # Text views over whole documents
@@ -480,7 +480,7 @@ def rich_candidates(spark, d):
 @query()
 def rich_features79(spark, d):
     s1, pool, _ = _rich(spark, d)
-    return _round(rich_features.rich_features(retrieval.rich_candidates(s1, pool), s1, pool))
+    return _round(rich_features.rich_features(retrieval.rich_candidates(s1, pool).persist(), s1, pool))
 
 
 @query()

@@ -27,9 +27,9 @@ class RichTrained:
 
 
 def featured(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(prepared clean records, features of all candidates)."""
-    left, right = rich_text.prepare(s1), rich_text.prepare(pool)
-    return left, rich_features.rich_features(retrieval.rich_candidates(left, right), left, right)
+    """(prepared clean records, features of all candidates). Twelve blocks read the prepared records, the features read the candidates: both are kept, spilling to disk."""
+    left, right = rich_text.prepare(s1).persist(), rich_text.prepare(pool).persist()
+    return left, rich_features.rich_features(retrieval.rich_candidates(left, right).persist(), left, right)
 
 
 def with_tier(rows: DataFrame) -> DataFrame:
@@ -41,8 +41,9 @@ def scored_by(trained: RichTrained, features: DataFrame) -> DataFrame:
     return model.calibrate(trained.calibrator, trained.fitted, model.score(trained.model, features))
 
 
-def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 30) -> RichTrained:
-    """Entities are split three ways: trees learn on the first part, the calibrator on the second, and the searches and the score use the third."""
+def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 30, searches: bool = True) -> RichTrained:
+    """Entities are split three ways: trees learn on the first part, the calibrator on the second, and the searches and the score use the third.
+    Without searches the decision is a threshold of 0.5, for a quick look."""
     left, all_features = featured(s1, pool)
     columns = [c for c in all_features.columns if c not in KEYS]
     rows = sampling.labelled(all_features, truth).persist()
@@ -57,9 +58,12 @@ def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int
         second.unpersist()
         third = model.calibrate(kind, fitted, model.score(trees, of(2))).persist()
         want, held = truth.join(ids(2).withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi"), ids(2)
-        best, _ = decision.best_threshold(third, want, held)
-        best, _ = decision.best_source_thresholds(third, want, held, best)
-        best, score = decision.best_ambiguity(third, want, held, best)
+        best = decision.Decision(threshold=0.5)
+        score = decision.macro(third, want, held, best)
+        if searches:
+            best, _ = decision.best_threshold(third, want, held)
+            best, _ = decision.best_source_thresholds(third, want, held, best)
+            best, score = decision.best_ambiguity(third, want, held, best)
         checked = decision.consistent(decision.accepted(third, best), third)
         other = evaluation.entity_scores(checked, want, held).agg(F.avg("f05")).first()[0] or 0.0
         third.unpersist()

@@ -32,7 +32,7 @@ def test_synthetic_shape(spark, lists):
 
 def test_rich_engine(spark, lists):
     s1, pool, truth = lists
-    trained = rich_lifecycle.train_rich(s1, pool, truth, iterations=2)
+    trained = rich_lifecycle.train_rich(s1, pool, truth, iterations=2, searches=False)
     assert len(trained.features) == 79 and trained.macro_f05 > 0.8
     assert macro(rich_lifecycle.predict_rich(s1, pool, trained), truth, s1) > 0.85
 
