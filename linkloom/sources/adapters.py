@@ -41,14 +41,14 @@ def trade(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 # clean list, customers the noisy ones. Every row of supplier and customer becomes a record; the truth is an equal key.
 DIRECTORY_CLEAN = """
   select 'S1-' || cast(s_suppkey as varchar(20)) as entity_id, p_name || ' ' || p_type || ' Corporation' as business_name,
-    'No. ' || cast(p_size as varchar(10)) || ' ' || replace(p_brand, '#', ' ') || ' Road, ' || cast(10000 + p_size as varchar(10)) as business_address, n_name as country
+    'No. ' || cast(p_size as varchar(10)) || ' ' || replace(p_brand, '#', ' ') || ' Road, ' || p_type || ' ' || cast(10000 + p_size as varchar(10)) as business_address, n_name as country
   from supplier join part on p_partkey = s_suppkey join nation on n_nationkey = s_nationkey
 """
 DIRECTORY_NOISY = """
   select case when c_acctbal < 3000 then 'S3-' else 'S2-' end || cast(c_custkey as varchar(20)) as entity_id, case when c_acctbal < 3000 then 'S3' else 'S2' end as source,
     case c_mktsegment when 'BUILDING' then p_name || ' ' || p_type || ' Corporation' when 'AUTOMOBILE' then upper(p_name || ' ' || p_type) || ', Corp.' when 'MACHINERY' then replace(p_name, 'e', 'é') || ' ' || p_type || ' International Holdings'
       when 'HOUSEHOLD' then p_name || ' & ' || p_type || ' Private Limited' else replace(replace(p_name, 'i', ''), 'e', '3') || ' ' || p_type || ' ' || p_type || ' Pvt. Ltd.' end as business_name,
-    case c_mktsegment when 'BUILDING' then 'No. ' || cast(p_size as varchar(10)) || ' ' || replace(p_brand, '#', ' ') || ' Road, ' || cast(10000 + p_size as varchar(10))
+    case c_mktsegment when 'BUILDING' then 'No. ' || cast(p_size as varchar(10)) || ' ' || replace(p_brand, '#', ' ') || ' Road, ' || p_type || ' ' || cast(10000 + p_size as varchar(10))
       when 'AUTOMOBILE' then '00' || cast(p_size as varchar(10)) || ' ' || replace(p_brand, '#', ' ') || ' Road, ' || n_name || ' ' || cast(10000 + c_custkey as varchar(10)) when 'MACHINERY' then null
       else cast(p_size as varchar(10)) || ' North ' || upper(replace(p_brand, '#', ' ')) || ' Street ' || n_name || ' ' || cast(1000000 + c_custkey as varchar(10)) || '-' || cast(10000 + c_custkey as varchar(10)) end as business_address,
     case when c_acctbal < 0 then null else n_name end as country
