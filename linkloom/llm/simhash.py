@@ -107,15 +107,18 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 # Near-duplicates by shingle similarity. A similarity of 0.8 leaves two 64-bit fingerprints some ten bits apart, where no grid
 # is selective. So cells come from samples: a band is the fingerprint of the SAMPLE smallest hashes of a text's shingles
 # under a permutation, and two texts share it with probability similarity ** SAMPLE. Inside a cell pairs are
-# bounded by the wide fingerprint, first by segment counts, then by bits; what remains is verified on the shingle sets.
+# bounded by the sizes of their shingle sets and by their parity words, which cut no linked pair; two long texts also by the wide
+# fingerprint, first by segment counts, then by bits. What remains is verified on the shingle sets.
 NEAR_SHINGLE, SIMILARITY = 5, 0.8
 BANDS, SAMPLE = 10, 3
 #: Words of the wide fingerprint, 64 bits each.
 WIDE = 4
-#: Deviations that a linked pair may lie above the expected distance: in cells of up to SMALL members, and in larger ones, whose
-#: dense links leave many ways to join two documents.
-DEVIATIONS, DENSE_DEVIATIONS, SMALL = 4.0, 1.6, 64
-SKETCH = "fp array<long>, bands array<long>"
+#: Words of parity: each shingle flips one of their bits, so they differ in no more bits than the sets differ in shingles.
+PARITY = 16
+#: The fingerprint bounds only pairs of texts of LONG shingles or more, where its bits keep to the expected distance; DEVIATIONS
+#: is how far a linked pair may lie above it.
+LONG, DEVIATIONS = 1_000, 6.0
+SKETCH = "fp array<long>, bands array<long>, shingles long, parity array<long>"
 _ODD = np.random.default_rng(SEED).integers(1 << 32, 1 << 63, size=(BANDS + WIDE, 2), dtype=np.uint64) | np.uint64(1)
 
 
@@ -159,6 +162,12 @@ def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return fp.view(np.int64), bands.view(np.int64)
 
 
+def parity(h: np.ndarray) -> np.ndarray:
+    """The parity words of a shingle set: a bit is set if an odd number of shingles falls on it."""
+    odd = np.bincount((h % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def most_bits(similarity: float, deviations: float = DEVIATIONS) -> int:
     """Differing bits of the wide fingerprint that a pair of this similarity stays under: the expected number and some deviations."""
     cosine = 2 * similarity / (1 + similarity)
@@ -171,23 +180,34 @@ def _bytes_of_text():
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, bands) of the rows that have an id."""
+    """(doc_id, fp, bands, shingles, parity) of the rows that have an id."""
 
     @F.pandas_udf(SKETCH)
     def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             for texts in batches:
-                rows = [sketch(shingle_set(t)) for t in texts]
-                yield pd.DataFrame({"fp": [r[0] for r in rows], "bands": [r[1] for r in rows]})
+                sets = [shingle_set(t) for t in texts]
+                rows = [sketch(h) for h in sets]
+                yield pd.DataFrame({"fp": [r[0] for r in rows], "bands": [r[1] for r in rows], "shingles": [len(h) for h in sets], "parity": [parity(h) for h in sets]})
+
+    return docs.where("doc_id is not null").select("doc_id", sketched(_bytes_of_text()).alias("s")).select("doc_id", "s.*")
 
-    return docs.where("doc_id is not null").select("doc_id", sketched(_bytes_of_text()).alias("s")).select("doc_id", "s.fp", "s.bands")
 
+def _apart(a: str, b: str, column: str, words: int):
+    return sum((F.bit_count(F.col(f"{a}.{column}")[k].bitwiseXOR(F.col(f"{b}.{column}")[k])) for k in range(1, words)), F.bit_count(F.col(f"{a}.{column}")[0].bitwiseXOR(F.col(f"{b}.{column}")[0])))
 
-def _within(a: str, b: str, bits):
-    """The Manhattan bound on the segment counts of the first word, then the Hamming distance of all; bits is a number or a column."""
+
+def _within(a: str, b: str, similarity: float):
+    """What every pair of the similarity meets, whatever its cell.
+
+    Such sets differ in at most (1 - similarity) / (1 + similarity) of their shingles taken together; so do their sizes and their
+    parity words, exactly. Two long texts are also held to the Manhattan bound on the segment counts of the first fingerprint word,
+    then to the Hamming distance of all.
+    """
+    x, y, bits = F.col(f"{a}.shingles"), F.col(f"{b}.shingles"), most_bits(similarity)
+    most = (x + y) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
     low = F.bit_count(embedding(F.col(f"{a}.fp")[0]).bitwiseXOR(embedding(F.col(f"{b}.fp")[0]))) <= bits
-    apart = sum((F.bit_count(F.col(f"{a}.fp")[k].bitwiseXOR(F.col(f"{b}.fp")[k])) for k in range(1, WIDE)), F.bit_count(F.col(f"{a}.fp")[0].bitwiseXOR(F.col(f"{b}.fp")[0])))
-    return low & (apart <= bits)
+    return (F.abs(x - y) <= most) & (_apart(a, b, "parity", PARITY) <= most) & ((F.least(x, y) < LONG) | (low & (_apart(a, b, "fp", WIDE) <= bits)))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
@@ -221,27 +241,27 @@ def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -
     Links join documents whose sets of five-word shingles have a Jaccard similarity of `similarity` or more; component_id is the
     smallest doc_id reachable. In a first round each cell's members are held against its smallest id only, which settles
     dense groups in as many pairs as they have members. In a second round pairs inside a cell are compared only if their
-    components still differ, each pair in the first band it shares, so no group is expanded into all its pairs. A pair of similarity
-    exactly 0.8 shares a band with probability 0.999; it passes the fingerprints with 0.9999 in cells of up to SMALL
-    members, and with 0.95 in larger ones, if nothing else has joined the two by then. Rows that share a
-    doc_id count as one document; null ids and texts without words link to nothing; an empty table gives no rows.
+    components still differ, each pair in the first band it shares. The same bounds hold in every cell, large or small. A pair of
+    similarity exactly 0.8 shares a band with probability 0.999 (less for texts of a few shingles: 0.994 at 4 of 5); the sizes
+    and parity words never cut it, and the fingerprints of two long texts lie DEVIATIONS above the expected distance with less than
+    1e-6. Rows that share a doc_id count as one document; null ids and texts without words link to nothing; an empty table
+    gives no rows.
     """
     rows = materialize(sketches(docs))
-    each = rows.select("doc_id", "fp", "bands", F.posexplode("bands").alias("band", "cell"))
+    each = rows.select("doc_id", "fp", "bands", "shingles", "parity", F.posexplode("bands").alias("band", "cell"))
     cells = materialize(each.join(_shared_cells(rows), ["band", "cell"]))
-    heads = materialize(cells.groupBy("band", "cell").agg(F.min_by(F.struct("doc_id", "fp"), "doc_id").alias("head")).select("band", "cell", F.col("head.doc_id").alias("doc_id"), F.col("head.fp").alias("fp")))
+    heads = materialize(cells.groupBy("band", "cell").agg(F.min_by(F.struct("doc_id", "fp", "shingles", "parity"), "doc_id").alias("head")).select("band", "cell", "head.*"))
     m, h = cells.alias("m"), heads.alias("h")
     same = (F.col("m.band") == F.col("h.band")) & (F.col("m.cell") == F.col("h.cell"))
-    star = m.join(h, same & (F.col("h.doc_id") < F.col("m.doc_id")) & _within("m", "h", most_bits(similarity))).select(F.col("h.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
+    star = m.join(h, same & (F.col("h.doc_id") < F.col("m.doc_id")) & _within("m", "h", similarity)).select(F.col("h.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
     star = materialize(star)
     links = materialize(verified(star, docs, similarity))
     first = connected_components(links)
     known = materialize(cells.join(first.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
     x, y = known.alias("x"), known.alias("y")
     same = (F.col("x.band") == F.col("y.band")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component"))
-    bits = F.when(F.col("x.n") <= SMALL, F.lit(most_bits(similarity))).otherwise(F.lit(most_bits(similarity, DENSE_DEVIATIONS)))
     first_shared = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
-    rest = x.join(y, same & _within("x", "y", bits) & first_shared).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    rest = x.join(y, same & _within("x", "y", similarity) & first_shared).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
     more = verified(materialize(rest.join(star, ["a", "b"], "left_anti").distinct()), docs, similarity)
     found = connected_components(links.union(more))
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
