@@ -1,6 +1,10 @@
-"""License scans: fixed phrases, and an exact containment join between license templates and text lines.
+"""License scans: fixed phrases, and an exact containment join between license templates and text blocks.
 
-The join orders tokens by their frequency in the whole corpus, rarest first. A line that holds at least CONTAINMENT of a
+A block is a line, or a run of consecutive lines just long enough for the template wherever in its first line that
+begins: the fewest lines of which those after the first hold as many words as the template, or all up to the end of the
+paragraph. Lines without a word part paragraphs. So a notice is found however it is wrapped.
+
+The join orders tokens by their frequency in the whole corpus, rarest first. A block that holds at least CONTAINMENT of a
 template's tokens must hold one of the first |T| - ceil(t|T|) + 1 tokens of the template in that order (prefix filter),
 has at least ceil(t|T|) tokens (length filter), and from the place of its first common prefix token on both sides must
 still have enough tokens left (positional filter). What passes is verified by counting, so the join is exact.
@@ -70,6 +74,7 @@ class ContainmentIndex:
     def __init__(self, counts: dict[bytes, int], threshold: float = CONTAINMENT):
         self.rank = {t: k for k, (_, t) in enumerate(sorted((counts.get(t, 0), t) for t in frozenset().union(*(s for _, s in template_sets()))))}
         self.templates, self.by_prefix = [], {}
+        self.lengths = [len(words_of(t.encode())) for texts in TEMPLATES.values() for t in texts]
         for label, tokens in template_sets():
             order = sorted(tokens, key=self.rank.__getitem__)
             need = math.ceil(threshold * len(order) - 1e-9)
@@ -80,15 +85,23 @@ class ContainmentIndex:
         self.prefix_tokens = frozenset(self.by_prefix)
 
     def matches(self, words: list[bytes]) -> dict[str, float]:
-        """label -> containment, of the templates that the line holds."""
+        """label -> containment, of the templates that the block holds."""
+        found: dict[str, float] = {}
+        for at, share in self.held(words).items():
+            label = self.templates[at][0]
+            found[label] = max(found.get(label, 0.0), share)
+        return found
+
+    def held(self, words: list[bytes]) -> dict[int, float]:
+        """Number of the template -> containment."""
         hit = self.prefix_tokens.intersection(words)
         if not hit:
             return {}
         line = sorted((self.rank[w] for w in set(words) if w in self.rank))
         place = {r: i for i, r in enumerate(line)}
-        found: dict[str, float] = {}
+        found: dict[int, float] = {}
         for at in {a for t in hit for a in self.by_prefix[t]}:
-            label, order, index, need = self.templates[at]
+            _, order, index, need = self.templates[at]
             if len(line) < need:  # length filter; only tokens of templates can be common
                 continue
             first = min((self.rank[t] for t in hit if t in index))
@@ -96,7 +109,33 @@ class ContainmentIndex:
                 continue
             common = sum(self.rank[t] in place for t in order)
             if common >= need:
-                found[label] = max(found.get(label, 0.0), common / len(order))
+                found[at] = common / len(order)
+        return found
+
+    def wrapped(self, lines: list[list[bytes]]) -> dict[str, float]:
+        """label -> containment, of the templates that a run of the paragraph's lines holds. What the paragraph lacks no run has."""
+        found: dict[str, float] = {}
+        for at in self.held([w for line in lines for w in line]):
+            label, order, index, need = self.templates[at]
+            inside: Counter = Counter()
+            most, end, after = 0, 0, 0  # lines[start:end] are inside; those past the first hold `after` words
+            for start in range(len(lines)):
+                if end > start:
+                    after -= len(lines[start])
+                while end < len(lines) and (end <= start or after < self.lengths[at]):
+                    inside.update(w for w in lines[end] if w in index)
+                    after += len(lines[end]) if end > start else 0
+                    end += 1
+                most = max(most, len(inside))
+                for w in lines[start]:
+                    if w in inside:
+                        inside[w] -= 1
+                        if not inside[w]:
+                            del inside[w]
+                if end == len(lines) and most == len(order):
+                    break
+            if most >= need:
+                found[label] = max(found.get(label, 0.0), most / len(order))
         return found
 
 
@@ -118,7 +157,7 @@ SCHEMA = "n_words long, n_base long, first_word long, last_word long, base_label
 def license_scan(docs: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    labels joins the base labels with those of templates that a line of the text contains; score is the largest containment,
+    labels joins the base labels with those of templates that a block of the text contains; score is the largest containment,
     1 if a fixed phrase stands in the text, 0 if nothing was found. Null texts count as empty: no words, null
     places, empty labels, score 0. Repeated rows come out as often as they come in; an empty table gives no rows; other
     columns are not read. The templates are a fixed list, so they travel with the code; nothing else is broadcast.
@@ -132,11 +171,17 @@ def license_scan(docs: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
             rows = []
             for text in texts:
                 lines = text.lower().translate(_LINES).split(b"\n")
-                words, found = [], {}
-                for line in lines:
+                words, found, paragraph = [], {}, []
+                for line in [*lines, b""]:
                     own = line.split()
                     words += own
-                    for label, share in index.matches(own).items():
+                    shares = [*index.matches(own).items()]
+                    if own:
+                        paragraph.append(own)
+                    else:
+                        shares += index.wrapped(paragraph).items() if len(paragraph) > 1 else []
+                        paragraph = []
+                    for label, share in shares:
                         found[label] = max(found.get(label, 0.0), share)
                 n, first, last, base = phrase_places(words)
                 rows.append((len(words), n, first, last, ",".join(sorted(base)), ",".join(sorted(base | found.keys())), 1.0 if base else max(found.values(), default=0.0)))

@@ -4,8 +4,9 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 
-from linkloom.llm import simhash
+from linkloom.llm import license_scan, simhash
 
 
 def docs(spark, rows):
@@ -37,3 +38,39 @@ def test_parity_never_exceeds_the_difference():
         x = np.unique(rng.integers(0, 1 << 63, size=n + m, dtype=np.uint64))
         apart = np.bitwise_count((simhash.parity(x[:n]) ^ simhash.parity(x[m:])).view(np.uint64)).sum()
         assert apart <= len(np.setxor1d(x[:n], x[m:]))
+
+
+# Licenses
+
+
+@pytest.mark.parametrize("label", ["mit", "bsd", "lgpl", "mpl-2.0", "gpl", "cc-by-nc"])
+def test_wrapped_notices_are_found(spark, label):
+    notice = license_scan.TEMPLATES[label][-1].split()
+    lines = [" ".join(notice[k : k + 4]) for k in range(0, len(notice), 4)]
+    rows = [(1, "\n".join(lines)), (2, "some code\n\n# Preface: " + "\n# ".join(lines) + " and more\n#\n# other words"), (3, "\n\n".join(lines)), (4, "\n".join(f"{line}\n{'x ' * 60}" for line in lines))]
+    got = {r.doc_id: r for r in license_scan.license_scan(docs(spark, rows)).collect()}
+    assert label in got[1].labels.split(",") and label in got[2].labels.split(",") and got[1].score == got[2].score == 1.0
+    apart = [license_scan.ContainmentIndex({}).matches(license_scan.words_of(line.encode())) for line in lines]
+    if label != "gpl" and not any(apart):  # neither paragraphs of their own nor far apart do the pieces make a notice
+        assert label not in got[3].labels.split(",") and label not in got[4].labels.split(",")
+
+
+def test_runs_equal_brute_force():
+    rng, index = random.Random(5), license_scan.ContainmentIndex({})
+    templates = [license_scan.words_of(t.encode()) for texts in license_scan.TEMPLATES.values() for t in texts]
+    for _ in range(300):
+        source = rng.choice(templates)
+        words = [w for w in source if rng.random() < 0.95] + [rng.choice(source + [b"x"]) for _ in range(rng.randrange(20))]
+        shift, lines = rng.randrange(len(words)), []
+        words = [b"y"] * rng.randrange(6) + words[shift:] + words[:shift] if rng.random() < 0.3 else words
+        while words:
+            k = rng.randrange(1, 9)
+            lines, words = [*lines, words[:k]], words[k:]
+        want = {}
+        for (label, order, _, need), length in zip(index.templates, index.lengths, strict=True):
+            for i in range(len(lines)):
+                j = next((j for j in range(i + 1, len(lines) + 1) if sum(map(len, lines[i + 1 : j])) >= length), len(lines))
+                n = len(set(order) & {w for line in lines[i:j] for w in line})
+                if n >= need:
+                    want[label] = max(want.get(label, 0.0), n / len(order))
+        assert index.wrapped(lines) == want
