@@ -32,7 +32,7 @@ def count_of(text: Column, characters: str) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """The rules on one line that has a word. Symbols and exclamation marks are counted against the spaces plus one."""
+    """The rules on one line; one without a word passes. Symbols and exclamation marks are counted against the spaces plus one."""
     words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     symbols, menu = count_of(line, SYMBOLS + "!"), count_of(line, "|>»•")
     return (symbols * 100 > words * MAX_SYMBOL_PERCENT) | ((menu >= MENU_MARKS) & (menu * 100 > words * MENU_PERCENT)) | F.lower(line).rlike("|".join(BOILERPLATE))
@@ -50,9 +50,16 @@ def repeated_words(words: Column) -> Column:
     return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
 
 
+def without_breaks(text: str) -> Column:
+    return F.replace(F.col(text), F.lit("\n"), F.lit(""))
+
+
 def quality_flags(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    lost_percent.
+    lost_percent, cleaned.
+
+    cleaned is the text without its failing lines; lines without a word stay, and so does the order. What was lost and whether
+    the document is kept follow from it.
 
     Null texts count as empty: all counts 0, base_failed. Repeated rows come out as often as they come in; an empty table
     gives no rows; other columns are not read. kept is false if base_failed or if failing lines hold more than half of the
@@ -64,7 +71,7 @@ def quality_flags(docs: DataFrame) -> DataFrame:
         "doc_id", F.size("words").alias("n_words"), (F.length("text") - count_of(F.col("text"), " \t\n\x0b\x0c\r")).alias("word_chars"), count_of(F.col("text"), SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"), F.sort_array(repeated_words(F.col("words"))).alias("windows"),
         F.aggregate(F.transform("lines", lambda x: F.length(x)), F.lit(0), lambda a, x: a + x).alias("line_chars"),
-        F.aggregate(F.filter("lines", line_fails), F.lit(0), lambda a, x: a + F.length(x)).alias("lost"),
+        F.length(without_breaks("text")).alias("all_chars"), F.array_join(F.filter(F.split("text", "\n"), lambda x: ~line_fails(x)), "\n").alias("cleaned"),
     )
     size = F.size("windows")
     hashes = F.transform("windows", lambda x: x["h"])
@@ -72,8 +79,8 @@ def quality_flags(docs: DataFrame) -> DataFrame:
     around = tagged.select("*", F.arrays_zip(F.col("windows").alias("w"), F.slice(F.concat(none, hashes), F.lit(1), size).alias("before"), F.concat(F.slice(hashes, F.lit(2), F.greatest(size - 1, F.lit(0))), none).alias("after")).alias("zipped"))
     places = around.select("*", F.sort_array(F.transform(F.filter("zipped", lambda x: (x["w"]["h"] == x["before"]) | (x["w"]["h"] == x["after"])), lambda x: x["w"]["i"])).alias("at"))
     steps = F.zip_with("at", F.slice("at", F.lit(2), F.size("at")), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
-    counted = places.select("*", F.aggregate(steps, F.lit(0), lambda a, x: a + x).alias("n_repeat_words"))
+    counted = places.select("*", (F.col("all_chars") - F.length(without_breaks("cleaned"))).alias("lost"), F.aggregate(steps, F.lit(0), lambda a, x: a + x).alias("n_repeat_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     lost = F.when(F.col("line_chars") > 0, 100.0 * F.col("lost") / F.col("line_chars")).otherwise(F.lit(0.0))
     long = lambda c: F.col(c).cast("long").alias(c)
-    return counted.select("doc_id", *map(long, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]), failed.alias("base_failed"), (~failed & (lost <= MAX_LOST_PERCENT)).alias("kept"), lost.alias("lost_percent"))
+    return counted.select("doc_id", *map(long, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]), failed.alias("base_failed"), (~failed & (lost <= MAX_LOST_PERCENT)).alias("kept"), lost.alias("lost_percent"), "cleaned")

@@ -51,7 +51,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_flags(documents(spark, sf_dir)).drop("lost_percent")
+    return quality_rules.quality_flags(documents(spark, sf_dir)).drop("lost_percent", "cleaned")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from linkloom.llm import license_scan, simhash
+from linkloom.llm import license_scan, quality_rules, simhash
 
 
 def docs(spark, rows):
@@ -74,3 +74,15 @@ def test_runs_equal_brute_force():
                 if n >= need:
                     want[label] = max(want.get(label, 0.0), n / len(order))
         assert index.wrapped(lines) == want
+
+
+# Quality
+
+
+def test_cleaned_text_lacks_the_failing_lines(spark):
+    good, menu, furniture = "a plain line of words é", "Home | News | Sport | More", "Please accept cookies now"
+    rows = [(1, f"{good}\n{menu}\n\n {good} \n{furniture}\n"), (2, menu), (3, None), (4, good)]
+    got = {r.doc_id: r for r in quality_rules.quality_flags(docs(spark, rows)).collect()}
+    assert {k: r.cleaned for k, r in got.items()} == {1: f"{good}\n\n {good} \n", 2: "", 3: "", 4: good}
+    lost, whole = len(menu) + len(furniture), 2 * len(good) + 2 + len(menu) + len(furniture)
+    assert got[1].lost_percent == pytest.approx(100 * lost / whole) and [got[k].lost_percent for k in (2, 3, 4)] == [100.0, 0.0, 0.0]
