@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Token formats of public services, then assignments to telling names, then any long run of key characters.
-FORMATS = [r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36}", r"xox[abprs]-[A-Za-z0-9-]{10,72}", r"sk_live_[A-Za-z0-9]{16,64}", r"AIza[0-9A-Za-z_-]{35}", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"]
+# No length has an upper bound, so a candidate is a whole secret and masking leaves no rest of it.
+FORMATS = [r"AKIA[0-9A-Z]{16,}", r"gh[pousr]_[A-Za-z0-9]{36,}", r"xox[abprs]-[A-Za-z0-9-]{10,}", r"sk_live_[A-Za-z0-9]{16,}", r"AIza[0-9A-Za-z_-]{35,}", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"]
 NAMES = "(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)"
-ASSIGNED = rf"(?<={NAMES}(?:\x20?[=:]\x20?|\x20?[=:]\x20?[\"']))[^\s\"'<>]{{8,128}}"
-LONG = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,256}={0,2}(?![A-Za-z0-9+/_=-])"
+ASSIGNED = rf"(?<={NAMES}[\"']?(?:\x20?[=:]\x20?|\x20?[=:]\x20?[\"']))[^\s\"'<>]{{8,}}+"
+LONG = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/_=-])"
 CANDIDATE = "|".join([*FORMATS, ASSIGNED, LONG])
 #: Characters of text on either side that the forest may look at.
 CONTEXT = 48

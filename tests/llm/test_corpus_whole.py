@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from linkloom.llm import license_scan, quality_rules, simhash
+from linkloom.llm import license_scan, quality_rules, secret_scan, simhash
 
 
 def docs(spark, rows):
@@ -86,3 +86,18 @@ def test_cleaned_text_lacks_the_failing_lines(spark):
     assert {k: r.cleaned for k, r in got.items()} == {1: f"{good}\n\n {good} \n", 2: "", 3: "", 4: good}
     lost, whole = len(menu) + len(furniture), 2 * len(good) + 2 + len(menu) + len(furniture)
     assert got[1].lost_percent == pytest.approx(100 * lost / whole) and [got[k].lost_percent for k in (2, 3, 4)] == [100.0, 0.0, 0.0]
+
+
+# Secrets
+
+
+def test_long_and_quoted_secrets_are_masked_whole(spark):
+    rng = random.Random(11)
+    draw = lambda n, of="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(rng.choice(of) for _ in range(n))
+    values = {1: draw(129), 2: draw(300), 3: draw(2_000), 4: draw(300, "0123456789abcdef"), 5: "sk_live_" + draw(90), 6: "xoxb-" + draw(100), 7: draw(16), 8: draw(300), 9: draw(18, "0123456789abcdef")}
+    form = {7: 'x {{"user": "me", "password": "{}"}} y', 8: "{{'api_key': '{}'}} y", 9: 'x {{"token":"{}"}} y'}
+    rows = [(k, form.get(k, 'x token = "{}" y').format(v)) for k, v in values.items()]
+    found = {(r[0], r[1]) for r in secret_scan.candidates(docs(spark, [*rows, (20, "x " + values[2] + " y")])).select("doc_id", "value").collect()}
+    assert found == {*values.items(), (20, values[2])}
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs(spark, rows)).collect()}
+    assert masked == {k: t.replace(values[k], secret_scan.MASK) for k, t in rows}
