@@ -25,17 +25,30 @@ def whole_text(column: str = "text"):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset, as in tests, a folder of this machine."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/linkloom").rstrip("/")
+    """spark.checkpoint.dir of the session. Only a local master, as in tests, may leave it unset: executors of a cluster don't share a machine's folder."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (path or "/tmp/checkpoints/linkloom").rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read back: it cuts the lineage, survives lost executors and is
-    computed once, where checkpoint() computes its last stage twice."""
+    computed once, where checkpoint() computes its last stage twice. discard() deletes what no result needs any more."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes materialized tables. The caller has materialized all that was computed from them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -49,6 +62,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     clean = edges.where("a is not null and b is not null and a <> b").select("a", "b")
     both = materialize(clean.union(clean.select("b", "a")).distinct())
     labels_ = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"))
+    last = labels_
     for _ in range(most_rounds):
         seen = both.join(labels_.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels_.join(seen.withColumnRenamed("a", "node"), "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
@@ -56,9 +70,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         above = labels_.select(F.col("node").alias("label"), F.col("label").alias("above"))
         jumped = materialize(hooked.join(above, "label", "left").select("node", "old", F.least("label", F.coalesce("above", "label")).alias("label")))
         changed = jumped.where("label <> old").limit(1).count()
-        labels_ = jumped.select("node", "label")
+        discard(last)
+        last, labels_ = jumped, jumped.select("node", "label")
         if not changed:
             break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    discard(both)
     return labels_.select("node", F.col("label").alias("component"))

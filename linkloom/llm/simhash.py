@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, discard, materialize
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 EVEN = 0x5555555555555555
@@ -104,10 +104,12 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     return fps.join(classes, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_size")
 
 
-# Near-duplicates by shingle similarity. A similarity of 0.8 leaves two 64-bit fingerprints some ten bits apart, where no grid
-# is selective. So cells come from samples: a band is the fingerprint of the SAMPLE smallest hashes of a text's shingles
-# under a permutation, and two texts share it with probability similarity ** SAMPLE. Inside a cell pairs are
-# bounded by the sizes of their shingle sets and by their parity words, which cut no linked pair; two long texts also by the wide
+# Near-duplicates by shingle similarity. The dealt method proposes first: texts whose fingerprints are equal or lie in range
+# of the grid join. A similarity of 0.8 leaves two 64-bit fingerprints some ten bits apart, where no grid is selective, so
+# more cells come from samples: a band is the fingerprint of the SAMPLE smallest hashes of a text's shingles
+# under a permutation, and two texts share it with probability similarity ** SAMPLE. A cell's members first meet one pivot.
+# Members whose components then still differ meet through the rarest of their shingles, by exact prefix, length and positional
+# filters. Pairs are bounded by parity words, which cut no linked pair; two long texts also by the wide
 # fingerprint, first by segment counts, then by bits. What remains is verified on the shingle sets.
 NEAR_SHINGLE, SIMILARITY = 5, 0.8
 BANDS, SAMPLE = 10, 3
@@ -198,7 +200,7 @@ def _apart(a: str, b: str, column: str, words: int):
 
 
 def _within(a: str, b: str, similarity: float):
-    """What every pair of the similarity meets, whatever its cell.
+    """What every pair of the similarity meets, however it was proposed.
 
     Such sets differ in at most (1 - similarity) / (1 + similarity) of their shingles taken together; so do their sizes and their
     parity words, exactly. Two long texts are also held to the Manhattan bound on the segment counts of the first fingerprint word,
@@ -210,68 +212,120 @@ def _within(a: str, b: str, similarity: float):
     return (F.abs(x - y) <= most) & (_apart(a, b, "parity", PARITY) <= most) & ((F.least(x, y) < LONG) | (low & (_apart(a, b, "fp", WIDE) <= bits)))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Of distinct pairs (a, b) those whose shingle sets reach the similarity. Only texts in a pair are read again."""
+def bounded(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Of pairs (a, b) those that _within() can't exclude."""
+    x, y = rows.select(F.col("doc_id").alias("a"), "fp", "shingles", "parity").alias("x"), rows.select(F.col("doc_id").alias("b"), "fp", "shingles", "parity").alias("y")
+    return pairs.join(x, "a").join(y, "b").where(_within("x", "y", similarity)).select("a", "b").distinct()
 
-    @F.pandas_udf("binary")
-    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def shingle_arrays(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, set) of the documents in ids: the sorted hashes of shingle_set()."""
+
+    @F.pandas_udf("array<long>")
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([shingle_set(t).tobytes() for t in texts])
+            yield pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
+
+    return docs.select("doc_id", _bytes_of_text().alias("text")).join(ids, "doc_id", "left_semi").select("doc_id", hashed("text").alias("set"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of pairs (a, b) those whose shingle sets reach the similarity."""
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity) - F.lit(1e-9)).select("a", "b").distinct()
+
+
+def _pair(a, b):
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
-    @F.pandas_udf("double")
-    def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            out = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(common / max(1, len(x) + len(y) - common))
-            yield pd.Series(out, dtype="float64")
 
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = materialize(docs.select("doc_id", _bytes_of_text().alias("text")).join(ids, "doc_id", "left_semi").select("doc_id", packed("text").alias("set")))
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-    return both.where(jaccard("x", "y") >= similarity - 1e-12).select("a", "b").distinct()
+def grid_pairs(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs that the dealt method proposes: texts of one fingerprint (its first word) with the smallest id among them, and those ids in range of each other."""
+    own = rows.where("shingles > 0").select("doc_id", F.col("fp")[0].alias("fp"))
+    heads = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("head")))
+    same = own.join(heads, "fp").where("doc_id <> head").select(*_pair(F.col("head"), F.col("doc_id")))
+    return same.union(fingerprint_links(heads, radius).select(*_pair(F.col("a"), F.col("b"))))
+
+
+def shared_cells(rows: DataFrame) -> DataFrame:
+    """(band, cell, doc_id, weight, pivot) for cells with two documents or more.
+
+    weight adds the members of all cells of the document. A copy with few edits shares more cells than one with many, so the
+    heaviest member of a cell, its pivot, lies near the middle of a group. Counts and pivots combine before the shuffle.
+    """
+    each = rows.select("doc_id", F.posexplode("bands").alias("band", "cell")).distinct()
+    counts = each.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells = materialize(each.join(counts, ["band", "cell"]))
+    weights = cells.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    weighed = cells.join(weights, "doc_id").select("band", "cell", "doc_id", "weight")
+    pivots = weighed.groupBy("band", "cell").agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("pivot"))
+    out = materialize(weighed.join(pivots, ["band", "cell"]))
+    discard(cells)
+    return out
+
+
+def prefix_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (a, b) among members (doc_id, component, set) of different components: an exact set-similarity join.
+
+    Shingles are ordered by the number of members that hold them, rarest first. Two sets that reach the similarity share one
+    of their first n - ceil(similarity * n) + 1 shingles in that order, their sizes agree to the similarity, and from the
+    first shared one on both have enough shingles left. Shingles held once take places of a prefix and lead to no
+    pair. Under each shingle the members of the commonest component meet only members of others, so a
+    group that is settled already is not expanded into its pairs.
+    """
+    tokens = members.select("doc_id", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    ordered = tokens.join(held, "token").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1
+    prefix = ordered.select("doc_id", "component", "n", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(length - alone, F.lit(0)).cast("int"))).alias("k", "s"))
+    prefix = materialize(prefix.select("doc_id", "component", "n", (F.col("alone") + F.col("k") + 1).alias("place"), F.col("s.token").alias("token")))
+    sizes = prefix.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("components")).where("components > 1").select("token", "main")
+    open_ = prefix.join(main, "token")
+    x, y = open_.where("component <> main").alias("x"), open_.alias("y")
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id"))
+    sized = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(similarity) - F.lit(1e-9)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & once & sized & (left >= need))
+    found = materialize(pairs.select(*_pair(F.col("x.doc_id"), F.col("y.doc_id"))).distinct())
+    discard(prefix)
+    return found
 
 
 def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) of the documents that have a near-duplicate.
 
     Links join documents whose sets of five-word shingles have a Jaccard similarity of `similarity` or more; component_id is the
-    smallest doc_id reachable. In a first round each cell's members are held against its smallest id only, which settles
-    dense groups in as many pairs as they have members. In a second round pairs inside a cell are compared only if their
-    components still differ, each pair in the first band it shares. The same bounds hold in every cell, large or small. A pair of
+    smallest doc_id reachable. The grid join on fingerprints proposes pairs; each band cell adds those of its members with the
+    cell's pivot, as many as it has members. Of cells whose other members then lie in more than one component all those
+    members go through prefix_pairs(), which misses no pair among them; so every pair that shares a cell is either joined
+    by way of others or compared, in cells of any size. A pair of
     similarity exactly 0.8 shares a band with probability 0.999 (less for texts of a few shingles: 0.994 at 4 of 5); the sizes
     and parity words never cut it, and the fingerprints of two long texts lie DEVIATIONS above the expected distance with less than
     1e-6. Rows that share a doc_id count as one document; null ids and texts without words link to nothing; an empty table
     gives no rows.
     """
     rows = materialize(sketches(docs))
-    each = rows.select("doc_id", "fp", "bands", "shingles", "parity", F.posexplode("bands").alias("band", "cell"))
-    cells = materialize(each.join(_shared_cells(rows), ["band", "cell"]))
-    heads = materialize(cells.groupBy("band", "cell").agg(F.min_by(F.struct("doc_id", "fp", "shingles", "parity"), "doc_id").alias("head")).select("band", "cell", "head.*"))
-    m, h = cells.alias("m"), heads.alias("h")
-    same = (F.col("m.band") == F.col("h.band")) & (F.col("m.cell") == F.col("h.cell"))
-    star = m.join(h, same & (F.col("h.doc_id") < F.col("m.doc_id")) & _within("m", "h", similarity)).select(F.col("h.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
-    star = materialize(star)
-    links = materialize(verified(star, docs, similarity))
-    first = connected_components(links)
-    known = materialize(cells.join(first.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
-    x, y = known.alias("x"), known.alias("y")
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component"))
-    first_shared = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
-    rest = x.join(y, same & _within("x", "y", similarity) & first_shared).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    more = verified(materialize(rest.join(star, ["a", "b"], "left_anti").distinct()), docs, similarity)
-    found = connected_components(links.union(more))
+    cells = shared_cells(rows)
+    star = cells.where("doc_id <> pivot").select(*_pair(F.col("pivot"), F.col("doc_id")))
+    pairs = materialize(bounded(star.union(grid_pairs(rows)).distinct(), rows, similarity))
+    ids = cells.select("doc_id").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    sets = materialize(shingle_arrays(docs, ids))
+    links = materialize(verified(pairs, sets, similarity))
+    first = connected_components(links).withColumnRenamed("node", "doc_id")
+    others = materialize(cells.where("doc_id <> pivot").select("band", "cell", "doc_id").join(first, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+    open_ = others.groupBy("band", "cell").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("band", "cell")
+    members = materialize(others.join(open_, ["band", "cell"], "left_semi").select("doc_id", "component").distinct().join(sets, "doc_id"))
+    proposed = prefix_pairs(members, similarity)
+    more = materialize(verified(bounded(proposed, rows, similarity), sets, similarity))
+    found = connected_components(first.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).union(more))
+    discard(rows, cells, pairs, sets, links, others, members, proposed, more)
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
 
-def _shared_cells(rows: DataFrame) -> DataFrame:
-    """Cells with two members or more; counted with a partial sum, so a hot cell is one row for each task."""
-    return rows.select(F.posexplode("bands").alias("band", "cell")).groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with its own columns, and of each near-duplicate component only the document with the smallest doc_id."""
     gone = near_duplicate_components(docs, similarity).where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))

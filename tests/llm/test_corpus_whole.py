@@ -32,6 +32,82 @@ def test_near_copies_of_short_texts_pass_every_bound(spark):
     assert [got.get(b) for _, b in pairs] == [a for a, _ in pairs]
 
 
+def components_of(sets):
+    """Brute force with one matrix product: the smallest id reachable over pairs of similarity 0.8 or more."""
+    ids, tokens = sorted(i for i in sets if sets[i]), sorted(set().union(*sets.values()))
+    number = {t: k for k, t in enumerate(tokens)}
+    held = np.zeros((len(ids), len(tokens)), dtype=np.float32)
+    for r, i in enumerate(ids):
+        held[r, [number[t] for t in sets[i]]] = 1
+    common, size = held @ held.T, held.sum(axis=1)
+    links = common >= 0.8 * (size[:, None] + size[None, :] - common) - 1e-3
+    label = np.arange(len(ids))
+    while (new := np.array([label[row].min() for row in links])).tolist() != label.tolist():
+        label = new
+    return {i: ids[k] for i, k in zip(ids, label.tolist(), strict=True)}, int(np.triu(links, 1).sum())
+
+
+def test_a_large_near_copy_group_with_outliers(spark):
+    """A thousand copies of one text with none to nine edits, so that many reach the group by way of others or not at all; and a family that shares two thirds of a text and no link."""
+    rng = random.Random(8)
+    base, frame = ([f"{p}{rng.randrange(10**6)}" for _ in range(150)] for p in "bf")
+    rows = []
+    for k in range(1_000):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 3, 4, 5, 6, 9])):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(40)}"
+        rows.append((k, " ".join(words)))
+    rows += [(5_000 + k, " ".join(frame + [f"own{k}-{j}" for j in range(70)])) for k in range(300)]
+    want, links = components_of({i: set(simhash.shingle_set(t.encode()).tolist()) for i, t in rows})
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_components(docs(spark, rows).repartition(5)).collect()}
+    right = sum(got.get(i, i) == c for i, c in want.items())
+    assert right >= 0.995 * len(rows) and all(want[i] == want[c] for i, c in got.items())
+    # candidates stay near the members, far below the pairs of the group
+    asked = []
+    exact = simhash.verified
+    try:
+        simhash.verified = lambda pairs, *rest: asked.append(pairs.count()) or exact(pairs, *rest)
+        simhash.near_duplicate_components(docs(spark, rows)).count()
+    finally:
+        simhash.verified = exact
+    assert sum(asked) < 20 * len(rows) < links
+
+
+def test_recall_at_the_threshold(spark):
+    """Lone pairs from 0.80 to 0.83, where a pair shares the fewest bands: at least 0.99 are found."""
+    rng, rows, pairs = random.Random(12), [], 0
+    while pairs < 1_000:
+        n = rng.randrange(60, 200)
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        other = words[: n - max(1, round((n - 4) * rng.uniform(0.17, 0.2)))]
+        x, y = (set(simhash.shingle_set(" ".join(w).encode()).tolist()) for w in (words, other))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.83:
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(other))]
+            pairs += 1
+    assert simhash.near_duplicate_components(docs(spark, rows)).where("doc_id % 2 = 1 and component_id = doc_id - 1").count() >= 0.99 * pairs
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prefix_join_is_exact(spark, seed):
+    rng = random.Random(seed)
+    sets = [sorted(rng.sample(range(60), rng.randint(1, 30))) for _ in range(40)]
+    sets += [sorted({*s, *rng.sample(range(80), 2)} - set(rng.sample(s, min(2, len(s) - 1)))) for s in sets for _ in range(3)]
+    members = spark.createDataFrame([(k, k % 7 if k % 2 else 0, s) for k, s in enumerate(sets)], "doc_id long, component long, set array<long>")
+    alike = lambda x, y: len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y)) - 1e-9
+    want = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if alike(sets[a], sets[b]) and (a % 7 if a % 2 else 0) != (b % 7 if b % 2 else 0)}
+    proposed = simhash.prefix_pairs(members, 0.8)
+    assert want and want <= {tuple(r) for r in proposed.collect()}
+    assert {tuple(r) for r in simhash.verified(proposed, members.select("doc_id", "set"), 0.8).collect()} == want
+
+
+def test_near_copies_with_ties_repeats_and_nulls(spark):
+    text = " ".join(f"t{k}" for k in range(40))
+    rows = [(5, text), (5, text), (3, text.upper()), (None, text), (7, None), (8, ""), (9, "x"), (11, "x")]
+    assert sorted(map(tuple, simhash.near_duplicate_components(docs(spark, rows)).collect())) == [(3, 3), (5, 3), (9, 9), (11, 9)]
+    assert sorted(str(r.doc_id) for r in simhash.drop_near_duplicates(docs(spark, rows)).collect()) == ["3", "7", "8", "9", "None"]
+    assert simhash.near_duplicate_components(docs(spark, [])).count() == 0
+
+
 def test_parity_never_exceeds_the_difference():
     rng = np.random.default_rng(1)
     for n, m in itertools.product((1, 5, 40, 300, 3_000), (0, 1, 10, 200)):
