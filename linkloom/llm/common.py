@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: The white space that separates words, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
+#: Rows of two numbers that a broadcast may hold: some 16 MB in each executor.
+BROADCAST_ROWS = 500_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df of some numbers a row, broadcast if its counted rows are few enough; else any join of it shuffles both sides."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph: (node, component), component being the smallest node reachable.
 

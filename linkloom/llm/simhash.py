@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialize
+from .common import connected_components, discard, materialize, small
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 EVEN = 0x5555555555555555
@@ -327,7 +327,11 @@ def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs with its own columns, and of each near-duplicate component only the document with the smallest doc_id."""
-    gone = near_duplicate_components(docs, similarity).where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))
+    """docs with its own columns, and of each near-duplicate component only the document with the smallest doc_id.
+
+    Rows that share that doc_id all stay, as do rows without a doc_id and texts without words; an empty table gives no rows.
+    """
+    found = near_duplicate_components(docs, similarity).where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))
+    gone = materialize(found)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return packed.join(gone, F.col("row.doc_id") == gone["gone"], "left_anti").select("row.*")
+    return packed.join(small(gone, gone.count()), F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
