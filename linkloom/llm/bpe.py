@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Characters of text in a chunk; a longer text is a chunk of its own.
 CHUNK = 20_000_000
+#: Bytes of text that a bucket of distinct words may stand for, and that a task may reassemble.
+BUCKET_BYTES, PART_BYTES = 1 << 30, 64 << 20
 CHUNK_SCHEMA = "chunk long, bucket int, payload binary"
 OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
@@ -96,7 +98,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int) -> I
         place = np.empty(len(words), dtype=np.uint32)
         place[order] = np.arange(len(words), dtype=np.uint32)
         flat = place[flat]
-        out = [(-1, _pack(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], dtype=np.int64), np.array(counts, dtype=np.int64), flat.astype(np.uint16), (flat >> 16).astype(np.uint8)))]
+        out = [(-1, _pack(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], dtype=np.int64), np.array(counts, dtype=np.int64), flat.astype(np.uint16), (flat >> 16).astype(np.uint16)))]
         bucket = np.array([zlib.crc32(words[k]) % buckets for k in order.tolist()], dtype=np.int64)
         by = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
@@ -144,7 +146,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iter
                     ids.append(memo[word])
                     start = end
                 flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
-                payload = _pack(steps, flat.astype(np.uint16), (flat >> 16).astype(np.uint8), np.array([len(x) // 4 for x in ids], dtype=np.uint32))
+                payload = _pack(steps, flat.astype(np.uint16), (flat >> 16).astype(np.uint16), np.array([len(x) // 4 for x in ids], dtype=np.uint32))
             out.append(payload)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["chunk", "bucket", "payload"])
 
@@ -156,9 +158,9 @@ def _texts(table: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
     data, sizes, places, header = [], [], [], None
     for bucket, k in rows:
         if bucket < 0:
-            header = _unpack(payload[k].as_py(), bool, np.int64, np.int64, np.uint16, np.uint8)
+            header = _unpack(payload[k].as_py(), bool, np.int64, np.int64, np.uint16, np.uint16)
         else:
-            steps, low, high, n = _unpack(payload[k].as_py(), np.uint32, np.uint16, np.uint8, np.uint32)
+            steps, low, high, n = _unpack(payload[k].as_py(), np.uint32, np.uint16, np.uint16, np.uint32)
             data.append(low.astype(np.uint32) | (high.astype(np.uint32) << 16))
             sizes.append(n.astype(np.int64))
             places.append(np.cumsum(steps.astype(np.int64)))
@@ -176,15 +178,18 @@ def _texts(table: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 def encoded_chunks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(chunk, bucket, payload): for each chunk its texts' word numbers, and the ids of its words.
+    """(chunk, bucket, payload): for each chunk its texts' word numbers, and the ids of its words; dealt out by chunk.
 
-    Buckets are as many as shuffle partitions, so a bucket's memory shrinks as they grow with the data. A frequent word
-    is one entry for each chunk, however often it stands there.
+    A task that encodes holds the distinct words of one bucket, one that reassembles holds one chunk. Buckets are as many as
+    shuffle partitions, and more if a bucket would stand for over BUCKET_BYTES of text; chunks go to as many partitions as
+    leave each some PART_BYTES. A frequent word is one entry for each chunk, however often it stands there.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("long"))).first()[0] or 0
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, -(-total // BUCKET_BYTES))
     cut = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(lambda b: _chunked(b, pattern, buckets), CHUNK_SCHEMA)
     dealt = cut.repartition(buckets, F.when(F.col("bucket") < 0, F.col("chunk")).otherwise(F.col("bucket").cast("long"))).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda b: _encoded(b, path, pattern), CHUNK_SCHEMA)
+    return dealt.mapInArrow(lambda b: _encoded(b, path, pattern), CHUNK_SCHEMA).repartition(max(partitions, -(-total // PART_BYTES)), "chunk")
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -192,7 +197,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Ids are those of the tiktoken library for the same file and pattern, without special tokens. Null texts count as empty and have
     no ids; repeated rows come out as often as they come in; a null doc_id stays null; an empty table gives no rows; other
-    columns are not read.
+    columns are not read. doc_id is read as a bigint; a text id that is no number is an error under ANSI mode. A text is never
+    cut: one over CHUNK is a chunk of its own, whose task holds it whole.
     """
 
     def assemble(table: pa.Table) -> pa.Table:
