@@ -29,6 +29,8 @@ GRAM = 32
 CHUNK, STEP, WINDOWS = 4_000_000, 200_000, 120_000
 #: Buckets for each shuffle partition: a bucket is sorted in one piece, so this bounds a task's memory.
 BUCKETS = 4
+#: Bytes of text for a partition at most, whatever the session's number of them.
+PART_BYTES = 64 << 20
 #: An anchor that occurs more often is hot: its windows travel one by one to the bucket of their own hash.
 HOT = 3_000
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xBF58476D1CE4E5B9)
@@ -274,16 +276,30 @@ def merge_sort(data: np.ndarray, p: Prefixes, at: np.ndarray, group: np.ndarray,
 
 
 def equal_classes(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, class of each place in that order): windows of one class are in one group and equal byte for byte."""
+    """(order, class of each place in that order): windows of one class are in one group and equal byte for byte.
+
+    Collision verification: neighbours are compared byte for byte. Where they don't stand in order, hashes have collided in some
+    comparison; that group is sorted again by its bytes, so that no equal windows stay apart.
+    """
     p = Prefixes(data)
     order = merge_sort(data, p, at, group, length)
     s, g = at[order], group[order]
     same = g[1:] == g[:-1]
-    same[same] = common_extension(p, s[1:][same], s[:-1][same], length) == length
-    k, offsets = np.flatnonzero(same), np.arange(length)
-    for a in range(0, len(k), 10_000):  # collision verification
+    k, offsets, wrong = np.flatnonzero(same), np.arange(length), []
+    for a in range(0, len(k), 10_000):
         part = k[a : a + 10_000]
-        same[part] = (data[s[part + 1][:, None] + offsets] == data[s[part][:, None] + offsets]).all(axis=1)
+        x, y = data[s[part][:, None] + offsets], data[s[part + 1][:, None] + offsets]
+        differ = x != y
+        at_ = differ.argmax(axis=1)
+        same[part] = ~differ[np.arange(len(part)), at_]
+        late = x[np.arange(len(part)), at_] > y[np.arange(len(part)), at_]
+        wrong += np.unique(g[part[late]]).tolist()
+    for group_ in sorted(set(wrong)):
+        k = np.flatnonzero(g == group_)
+        texts = [data[x : x + length].tobytes() for x in s[k].tolist()]
+        by = sorted(range(len(k)), key=texts.__getitem__)
+        order[k] = order[k][by]
+        same[k[:-1]] = [texts[i] == texts[j] for i, j in zip(by, by[1:], strict=False)]
     return order, np.concatenate(([0], np.cumsum(~same)))
 
 
@@ -398,7 +414,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chun
     oid = F.coalesce("doc_id", F.lit(LAST))
     sums = materialize(text.select("doc_id", F.xxhash64("text").alias("tie"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), F.octet_length("text").cast("long").alias("size")))
     total = sums.agg(F.sum("size")).first()[0] or 0
-    chunks, partitions = max(1, -(-total // chunk_bytes)), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks, partitions = max(1, -(-total // chunk_bytes)), max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     buckets = BUCKETS * partitions
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     # written, so that the join stands between two exchanges and a hot digest can be split
@@ -414,8 +430,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chun
         return (left if left.num_rows else right).column("chunk")[0].as_py()
 
     found = cogrouped(copies, lambda a, b: chunk_anchors(key_of(a, b), a, b, buckets, length, gram), PACKED)
-    again = found.groupBy("bucket").applyInArrow(repeated_anchors, "chunk long, kind int, payload binary")
+    again = found.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(repeated_anchors, "chunk long, kind int, payload binary")
     parts = cogrouped(copies.unionByName(again), lambda a, b: chunk_segments(key_of(a, b), a, b, buckets, length, gram, hot), PACKED)
-    marks = parts.groupBy("bucket").applyInArrow(lambda t: bucket_spans(t, length), "chunk long, kind int, payload binary")
+    marks = parts.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(lambda t: bucket_spans(t, length), "chunk long, kind int, payload binary")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return cogrouped(copies.unionByName(marks), lambda a, b: _cleaned(a, b, length, with_text), out)
