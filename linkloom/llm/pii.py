@@ -2,7 +2,7 @@
 
 Candidates come from loose patterns. Three kinds of labelers vote on each: form (strict patterns and checksums), gazetteer (given
 names, country prefixes) and context (words before the candidate). No labels are needed: EM on the counts of vote patterns over
-the whole table estimates how far each labeler can be trusted, and its posteriors train a logistic classifier on votes and shape.
+the whole table estimates, for each kind, how far each labeler can be trusted, and its posteriors train a logistic classifier on votes and shape.
 Spans of the base kinds are exact rules and always stay.
 """
 
@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import discard, materialize, whole_text
 
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn", "name"]
 BASE = {
@@ -41,11 +41,19 @@ CONTEXT = {
     "phone": ["phone", "tel", "call", "mobile", "fax", "telefon"], "iban": ["iban", "account", "bank", "konto", "cuenta"], "ssn": ["ssn", "social", "security"], "name": ["dear", "name", "signed", "regards", "by"],
 }
 OTHER_CONTEXT = ["version", "isbn", "order", "invoice", "serial", "part", "page", "id", "sku", "release", "model"]
-GIVEN_NAMES = {"john", "mary", "james", "anna", "peter", "paul", "maria", "jose", "hans", "klaus", "pierre", "marie", "juan", "carlos", "laura", "emma", "david", "thomas", "sarah", "michael", "julia", "lucas"}
+GIVEN_NAMES = frozenset(
+    "ahmed aisha alice amanda amelia ana andrea andrew angela anna anne antonio arthur barbara ben bruno carlos carmen carol charles charlotte chen chloe christian christine claire "
+    "claudia daniel david diana diego dmitri elena elizabeth emily emma eric erik eva fatima felix fernando florian francesca francois frank gabriel george giulia grace hannah hans "
+    "harry heinz helen henry hugo ingrid irene isabel ivan jack jacob james jan jane javier jean jennifer jessica joan johann john jorge jose joseph juan julia julie kai karen karl "
+    "katarina kate kevin klaus laura lea leon linda lisa louis louise lucas lucia luis luke manuel marco margaret maria marie mario mark martin mary matthew max mia michael miguel "
+    "mohammed monica nadia natalie nicolas nina oliver olivia omar pablo patricia paul pedro peter petra philip pierre priya rachel ravi rebecca ricardo richard robert rosa ruth "
+    "samuel sandra sara sarah sebastian simon sofia sophie stefan stephen susan teresa thomas tim tom ursula victor victoria wei william yuki yusuf".split()
+)
+DIAL_PREFIXES = ("+1", "+7", "+20", "+27", "+30", "+31", "+32", "+33", "+34", "+39", "+40", "+41", "+43", "+44", "+45", "+46", "+47", "+48", "+49", "+52", "+54", "+55", "+61", "+64", "+81", "+82", "+86", "+90", "+91", "+351", "+353", "+358", "+420", "+971", "+972")
 EVIDENCE = ["form", "gazetteer", "context"]
 #: Votes are 0 (abstains), 1 (for) and 2 (against); three labelers for each kind bound the patterns at 27 a kind.
 ABSTAIN, FOR, AGAINST = 0, 1, 2
-#: Candidates that the span classifier is fitted on, chosen by the hash of the document.
+#: Candidates that the span classifier is fitted on, those with the smallest hashes of candidate and context.
 SAMPLE = 20_000
 
 
@@ -69,19 +77,44 @@ def base_holds(kind: str, found: str) -> bool:
 _DOTTED = re.compile(r"[0-9]\.[0-9]")
 
 
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+
+
+def base_matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """The places of BASE[kind] in the text, leftmost and not overlapping, in time linear in the text.
+
+    An address is looked for from its @ to the left, and dotted numbers are taken four at a time from a whole run of them: the
+    patterns themselves start anew at each character of a long run.
+    """
+    if kind == "email":
+        at, last = text.find("@"), 0
+        while at >= 0:
+            domain, start = _DOMAIN.match(text, at), at
+            if domain:
+                while start > last and text[start - 1] in _LOCAL:
+                    start -= 1
+                if start < at:
+                    last = domain.end()
+                    yield start, last
+            at = text.find("@", max(at + 1, last))
+    elif kind == "ip":
+        if _DOTTED.search(text):
+            for run in _NUMBERS.finditer(text):
+                if run.group(0).count(".") >= 3:
+                    ends = [m.span() for m in re.finditer("[0-9]+", run.group(0))]
+                    for k in range(0, len(ends) - 3, 4):
+                        yield run.start() + ends[k][0], run.start() + ends[k + 3][1]
+    elif kind != "phone" or "+" in text:
+        for m in BASE[kind].finditer(text):
+            yield m.span()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end), leftmost and not overlapping for each kind; matches that fail their check are dropped."""
-    out = []
-    for k, kind in enumerate(BASE):
-        # a text without the sign that every match holds needs no search
-        if kind == "email" and "@" not in text or kind == "phone" and "+" not in text or kind == "ip" and not _DOTTED.search(text):
-            continue
-        for m in BASE[kind].finditer(text):
-            if kind == "card" and m.end() - m.start() < 16:
-                continue
-            if base_holds(kind, m.group(0)):
-                out.append((k, m.start(), m.end()))
-    return out
+    found = [(k, a, b) for k, kind in enumerate(BASE) for a, b in base_matches(kind, text) if kind != "card" or b - a >= 16]
+    return [(k, a, b) for k, a, b in found if base_holds(KINDS[k], text[a:b])]
 
 
 _NEEDS = {"email": ("at",), "phone": None, "iban": None, "ssn": ("-",), "name": ("r", "M", "F", "D", "P")}
@@ -92,15 +125,20 @@ _RUN = re.compile(r"[0-9]{3}")
 def candidates(text: str) -> list[tuple[int, int, int, bool]]:
     """(kind number, start, end, base): base spans, and loose ones that overlap none of them nor each other."""
     spans = [(*s, True) for s in base_spans(text)]
-    taken = [(a, b) for _, a, b, _ in spans]
+    loose = []
     numbers = _RUN.search(text) is not None
     for kind, pattern in LOOSE.items():
         if kind in ("phone", "ssn", "iban") and not numbers or kind == "email" and not ("dot" in text and "at" in text):
             continue
-        for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                spans.append((KINDS.index(kind), m.start(), m.end(), False))
-                taken.append((m.start(), m.end()))
+        loose += [(KINDS.index(kind), *m.span()) for m in pattern.finditer(text)]
+    if loose:
+        taken = bytearray(len(text))
+        for _, a, b, _ in spans:
+            taken[a:b] = b"\1" * (b - a)
+        for kind, a, b in loose:
+            if taken.find(1, a, b) < 0:
+                spans.append((kind, a, b, False))
+                taken[a:b] = b"\1" * (b - a)
     return sorted(spans)
 
 
@@ -122,7 +160,7 @@ def votes(text: str, kind: int, start: int, end: int) -> tuple[int, int, int]:
     else:
         form = FOR if name == "phone" and 8 <= len(digits) <= 15 else ABSTAIN
     parts = {p.lower() for p in re.findall(r"[A-Za-z]+", found)}
-    gazetteer = FOR if parts & GIVEN_NAMES or name == "phone" and found.startswith("+1") or name == "iban" and found[:2] in ("DE", "FR", "ES", "GB", "NL", "IT", "AT", "CH", "BE") else AGAINST if name == "iban" else ABSTAIN
+    gazetteer = FOR if parts & GIVEN_NAMES or name == "phone" and found.startswith(DIAL_PREFIXES) or name == "iban" and found[:2] in ("DE", "FR", "ES", "GB", "NL", "IT", "AT", "CH", "BE") else AGAINST if name == "iban" else ABSTAIN
     before = {w.lower() for w in _TAIL.findall(text[max(0, start - 40) : start])}
     context = FOR if before & set(CONTEXT[name]) else AGAINST if before & set(OTHER_CONTEXT) else ABSTAIN
     return form, gazetteer, context
@@ -165,8 +203,10 @@ def _inputs(v: tuple[int, int, int], kind: int, base: bool, found: str) -> list[
 
 @dataclass
 class Model:
-    share: float
-    table: np.ndarray
+    """Prevalence and reliabilities of each kind, and the classifier's weights."""
+
+    shares: list[float]
+    tables: list[np.ndarray]
     beta: np.ndarray
 
     def accepts(self, text: str, kind: int, start: int, end: int) -> bool:
@@ -174,15 +214,19 @@ class Model:
         return bool(x @ self.beta > 0)
 
 
+def prior_model() -> Model:
+    return Model([0.5] * len(KINDS), [expectation_maximisation({})[1]] * len(KINDS), np.zeros(len(_inputs((0, 0, 0), 0, False, ""))))
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """EM over the vote patterns of all candidates, then the classifier on at most sample candidates.
+    """EM over the vote patterns of all candidates, for each kind its own, then the classifier on at most sample candidates.
 
-    Each task sends its pattern counts (at most 27 for each kind) and the candidates with the smallest hashes, which are cut to the
-    sample in the order of that hash; both are bounded whatever the table. A table without candidates gives the prior.
+    Each task sends its pattern counts (at most 27 for each kind) and the sample candidates with the smallest hashes of their
+    surroundings, in the order by which all tasks' rows are cut to the sample; both are bounded whatever the table, and how it is
+    split makes no difference. A table without candidates gives the prior. Nulls count as empty texts.
     """
 
     def voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import heapq
         import zlib
 
         seen, kept = Counter(), []
@@ -190,37 +234,41 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             for text in batch["text"]:
                 for kind, a, b, base in candidates(text):
                     v = votes(text, kind, a, b)
-                    seen[v] += 1
-                    key = zlib.crc32(f"{text[max(0, a - 40):b]}".encode())
-                    item = (-key, [float(x) for x in _inputs(v, kind, base, text[a:b])], list(v))
-                    heapq.heappush(kept, item) if len(kept) < sample // 20 else heapq.heappushpop(kept, item)
+                    seen[kind, *v] += 1
+                    kept.append((zlib.crc32(text[max(0, a - 40) : b].encode()), [kind, *v], [float(x) for x in _inputs(v, kind, base, text[a:b])]))
+                    if len(kept) >= 2 * sample:
+                        kept = sorted(kept)[:sample]
         if not seen:
             return
+        kept = sorted(kept)[:sample]
         yield pd.DataFrame({"votes": [list(v) for v in seen], "n": list(seen.values()), "x": [None] * len(seen), "key": [0] * len(seen)})
-        yield pd.DataFrame({"votes": [v for _, _, v in kept], "n": [0] * len(kept), "x": [x for _, x, _ in kept], "key": [-k for k, _, _ in kept]})
+        yield pd.DataFrame({"votes": [v for _, v, _ in kept], "n": [0] * len(kept), "x": [x for _, _, x in kept], "key": [k for k, _, _ in kept]})
 
-    rows = docs.select(whole_text().alias("text")).mapInPandas(voted, "votes array<int>, n long, x array<double>, key long")
-    parts = rows.withColumn("piece", F.col("x").isNotNull())
-    counted = parts.where("not piece").groupBy("votes").agg(F.sum("n").alias("n"))
-    drawn = parts.where("piece").orderBy("key", "votes", "x").limit(sample)
+    rows = materialize(docs.select(whole_text().alias("text")).mapInPandas(voted, "votes array<int>, n long, x array<double>, key long"))
+    counted = rows.where("x is null").groupBy("votes").agg(F.sum("n").alias("n"))
+    drawn = rows.where("x is not null").orderBy("key", "votes", "x").limit(sample)
     both = counted.select("votes", "n", F.lit(None).cast("array<double>").alias("x")).unionByName(drawn.select("votes", "n", "x")).toPandas()
-    counts = {tuple(int(x) for x in v): int(n) for v, n in zip(both["votes"], both["n"], strict=True) if n > 0}
-    share, table = expectation_maximisation(counts)
-    chosen = both[both["n"] == 0]
-    beta = np.zeros(len(_inputs((0, 0, 0), 0, False, "")))
-    x = np.array([list(v) for v in chosen["x"]], dtype=float).reshape(-1, len(beta))
-    target = posterior(np.array([list(v) for v in chosen["votes"]], dtype=int).reshape(-1, len(EVIDENCE)), share, table)
-    # the prior's own view of every pattern keeps kinds that the sample lacks from being decided by nothing
-    every = np.array([(a, b, c) for a in range(3) for b in range(3) for c in range(3)])
-    grid = np.array([_inputs(tuple(v), k, False, "") for k in range(len(KINDS)) for v in every.tolist()], dtype=float)
-    x, target = np.concatenate([x, grid]), np.concatenate([target, np.tile(posterior(every, share, table), len(KINDS))])
+    discard(rows)
+    model = prior_model()
+    patterns = [tuple(int(x) for x in v) for v in both["votes"]]
+    for kind in range(len(KINDS)):
+        own = {v[1:]: int(n) for v, n in zip(patterns, both["n"], strict=True) if n > 0 and v[0] == kind}
+        model.shares[kind], model.tables[kind] = expectation_maximisation(own)
+    chosen = [(v, list(x)) for v, n, x in zip(patterns, both["n"], both["x"], strict=True) if n == 0]
+    # the model's own view of every pattern keeps kinds that the sample lacks from being decided by nothing
+    every = [(a, b, c) for a in range(3) for b in range(3) for c in range(3)]
+    chosen = sorted(chosen) + [((k, *v), _inputs(v, k, False, "")) for k in range(len(KINDS)) for v in every]
+    x, target = np.array([x for _, x in chosen], dtype=float), np.empty(len(chosen))
+    kinds, vote = np.array([v[0] for v, _ in chosen]), np.array([v[1:] for v, _ in chosen])
+    for kind in range(len(KINDS)):
+        target[kinds == kind] = posterior(vote[kinds == kind], model.shares[kind], model.tables[kind])
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.1 * np.eye(len(beta)), x.T @ (target - p) - 0.1 * beta)
-        beta = beta + step
+        p = 1 / (1 + np.exp(-np.clip(x @ model.beta, -30, 30)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.1 * np.eye(len(model.beta)), x.T @ (target - p) - 0.1 * model.beta)
+        model.beta = model.beta + step
         if np.abs(step).max() < 1e-6:
             break
-    return Model(share, table, beta)
+    return model
 
 
 SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
