@@ -7,6 +7,7 @@ The lexicon is learned: word beginnings that labelled toxic texts use far more t
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, whole_text
+from .common import SPACE, discard, materialize, whole_text
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {
@@ -107,8 +108,14 @@ def matcher(weights: dict[str, float]):
                 safe.append((start, end))
             elif weight > best.get(start, 0.0):
                 best[start] = weight
+        reach = 0
+        inside: list[tuple[int, int]] = []  # the phrases' places, each with the furthest end so far
+        for a, b in sorted(safe):
+            reach = max(reach, b)
+            inside.append((a, reach))
         for at, weight in best.items():
-            if not any(a <= at <= b for a, b in safe):
+            k = bisect_right(inside, (at, len(folded))) - 1
+            if k < 0 or inside[k][1] < at:
                 word = folded[at + 1 : folded.index(" ", at + 1)]
                 words[word] = (weight, words.get(word, (0.0, 0))[1] + 1)
         return sum(weight * (1 + math.log(n)) for weight, n in words.values())
@@ -169,10 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
     rows = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64("doc_id")
     sample = rows.where("toxic = 1").orderBy(order, "doc_id").limit(sample_per_class).unionByName(rows.where("toxic = 0").orderBy(order, "doc_id").limit(sample_per_class))
-    texts = _without_near_copies(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id"))
+    texts = materialize(_without_near_copies(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")))  # read by three passes
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     model = Model()
     if not n.get(0) or not n.get(1):
+        discard(texts)
         return model
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     found = texts.mapInPandas(_beginnings, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -190,6 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
             yield pd.DataFrame({"a": [p for p, _ in x], "b": [q for _, q in x], "toxic": batch["toxic"]})
 
     fitted = texts.mapInPandas(measured, "a double, b double, toxic int").toPandas()  # two numbers for each row of the bounded sample
+    discard(texts)
     model.bias, model.slopes = _logistic(fitted[["a", "b"]].to_numpy(), fitted["toxic"].to_numpy(dtype=float))
     return model
 
@@ -218,7 +227,8 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with its own columns, without the rows that score threshold or more."""
+    """docs with its own columns, without the rows that score threshold or more. Null texts count as empty; repeated rows stay or go alike;
+    an empty table gives no rows."""
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     scored = packed.select("row", scorer(model)(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("score"))
