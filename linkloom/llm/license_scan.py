@@ -105,7 +105,7 @@ class ContainmentIndex:
             if len(line) < need:  # length filter; only tokens of templates can be common
                 continue
             first = min((self.rank[t] for t in hit if t in index))
-            if min(len(order) - index[order[0]] if first == self.rank[order[0]] else sum(self.rank[t] >= first for t in order), len(line) - place[first]) < need:  # positional filter
+            if min(sum(self.rank[t] >= first for t in order), len(line) - place[first]) < need:  # positional filter
                 continue
             common = sum(self.rank[t] in place for t in order)
             if common >= need:
@@ -143,9 +143,9 @@ def phrase_places(words: list[bytes]) -> tuple[int, int | None, int | None, set[
     """Number of places, smallest and largest start in words, and labels of the fixed phrases."""
     joined, n, first, last, labels = b" " + b" ".join(words) + b" ", 0, None, None, set()
     for phrase, label in PHRASES.items():
-        sought, at = b" " + phrase.encode() + b" ", -1
+        sought, at, k, counted = b" " + phrase.encode() + b" ", -1, 0, 0
         while (at := joined.find(sought, at + 1)) >= 0:
-            k = joined.count(b" ", 0, at)
+            k, counted = k + joined.count(b" ", counted, at), at
             n, first, last = n + 1, k if first is None else min(first, k), k if last is None else max(last, k)
             labels.add(label)
     return n, first, last, labels
