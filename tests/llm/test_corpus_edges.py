@@ -19,7 +19,7 @@ def forest(spark):
 
 
 def operators(forest):
-    model = pii.Model(0.5, pii.expectation_maximisation({})[1], pii.np.zeros(len(pii._inputs((0, 0, 0), 0, False, ""))))
+    model = pii.prior_model()
     return {
         "toxicity": lambda d: toxicity.toxicity_scores(d, toxicity.Model()), "packing": packing.packed, "license": license_scan.license_scan, "bpe": lambda d: bpe.digests(d, PATH, PATTERN),
         "secrets": lambda d: secret_scan.secret_findings(d, forest), "pii": lambda d: pii.pii_spans(d, model), "simhash": simhash.simhash_components, "suffix": suffix_dedup.repeated_bytes,
@@ -95,3 +95,18 @@ def test_partitions_without_anything_to_count(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id long, toxic int")
     assert toxicity.toxicity_scores(plain, toxicity.fit(plain, labels)).count() == 6
     assert pii.pii_spans(plain.limit(0)).count() == 0 and license_scan.license_scan(plain.limit(0)).count() == 0
+
+
+def test_copies_that_tie_in_id_are_reduced_alike(spark):
+    rows = [(1, "a  b", "x"), (1, "a b", "y"), (1, "a b", "x"), (1, "other", "x"), (2, "a b", "x"), (None, "a b", "x"), (None, "z", "q"), (None, "z", "p"), (3, None, "x"), (4, "", "x")]
+    for parts in (1, 3, 8):
+        for order in (rows, rows[::-1]):
+            got = exact_dedup.drop_exact_copies(spark.createDataFrame(order, "doc_id long, text string, note string").repartition(parts)).collect()
+            assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, "a  b", "x"), (1, "other", "x"), (None, "z", "p"), (3, None, "x")]))
+
+
+def test_a_large_group_goes_up_as_one_entry_for_each_run(spark):
+    rows = docs(spark, [(k, "same  text" if k % 3 else f"own {k}") for k in range(3_000)]).repartition(20)
+    level = exact_dedup.materialize(exact_dedup.digests(rows))
+    got = {(r.keep_id, r.group_size) for r in exact_dedup.merged(level, 2).where("group_size > 1").collect()}
+    assert got == {(1, 2_000)} and exact_dedup.drop_exact_copies(rows).count() == 1_001
