@@ -1,7 +1,7 @@
 """Pair similarities that Spark lacks, in Arrow batches.
 
 Jaro and Jaro-Winkler work on UTF-8 bytes, a batch of pairs at a time in NumPy. The ratio family works on characters; its
-longest common subsequence is bit-parallel in one Python integer. Each batch scores a distinct pair of strings once.
+longest common subsequence is bit-parallel, a batch of pairs at a time. Each batch scores a distinct pair of strings once.
 """
 
 from __future__ import annotations
@@ -115,20 +115,25 @@ def ratio(a: str, b: str) -> float:
     return 2 * common_subsequence(a, b) / total if total else 1.0
 
 
+def _slid(a: str, b: str) -> float:
+    """The best ratio of a and a stretch of b that has a's length, or less at either end of b; a is no longer than b."""
+    letters, best, n = set(a), 0.0, len(a)
+    for end in range(1, len(b) + n):
+        start, stop = max(0, end - n), min(end, len(b))
+        if (b[stop - 1] if end <= len(b) else b[start]) in letters:
+            best = max(best, ratio(a, b[start:stop]))
+    return best
+
+
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter string and a stretch of the longer one that has its length, or less at either end of the longer one."""
+    """The best ratio of the shorter string and a stretch of the longer one; of equal lengths each slides over the other."""
     if not a or not b:
         return float(a == b)
     if len(a) > len(b):
         a, b = b, a
     if a in b:
         return 1.0
-    letters, best, n = set(a), 0.0, len(a)
-    for end in range(1, len(b) + n):
-        start, stop = max(0, end - n), min(end, len(b))
-        if (b[stop - 1] if end <= len(b) else b[start]) in letters:
-            best = max(best, ratio(a, b[start:stop]))
-    return best if len(a) < len(b) else max(best, ratio(a, b))
+    return _slid(a, b) if len(a) < len(b) else max(_slid(a, b), _slid(b, a))
 
 
 def token_sort_ratio(a: str, b: str) -> float:
@@ -159,6 +164,124 @@ def partial_token_set_ratio(a: str, b: str) -> float:
 
 RATIOS: dict[str, Callable[[str, str], float]] = {"ratio": ratio, "partial_ratio": partial_ratio, "token_sort_ratio": token_sort_ratio, "token_set_ratio": token_set_ratio, "partial_token_set_ratio": partial_token_set_ratio}
 
+# The same ratios for a batch of pairs. The table's rows are bits of 64-bit words, one word for each pair (and stretch), so one
+# NumPy step moves all pairs on by a character. Pairs whose shorter string is longer than a word go through the plain functions.
+WORD = 64
+
+
+def _hits(short: list[str], long: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each character of the longer strings the places of the shorter string that it equals, as bits; and both lengths."""
+    size = lambda x: np.array([len(v) for v in x])
+    n, m = size(short), size(long)
+
+    def codes(values: list[str], wide: int, filler: int) -> np.ndarray:
+        out = np.full((len(values), wide), filler, dtype=np.uint32)
+        out[np.arange(wide) < size(values)[:, None]] = np.frombuffer("".join(values).encode("utf-32-le"), dtype=np.uint32)
+        return out
+
+    a, b = codes(short, int(n.max()), 0xFFFFFFFE), codes(long, int(m.max()) + 1, 0xFFFFFFFF)
+    bits = np.zeros(b.shape, dtype=np.uint64)
+    for i in range(a.shape[1]):
+        bits |= (b == a[:, i, None]).astype(np.uint64) << np.uint64(i)
+    return bits, n, m
+
+
+def _zeros(row: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Zero bits among the lowest n: the length of the common subsequence."""
+    full = np.where(n >= WORD, np.uint64(2**64 - 1), (np.uint64(1) << np.minimum(n, WORD - 1).astype(np.uint64)) - np.uint64(1))
+    return np.bitwise_count(~row & full)
+
+
+def _by_length(pairs: list[tuple[str, str]], plain: Callable[[str, str], float], batch: Callable[[list[str], list[str]], np.ndarray], block: int) -> np.ndarray:
+    """batch() over blocks of pairs (shorter first, of like lengths), plain() for those that don't fit a word."""
+    out = np.zeros(len(pairs))
+    pairs = [(a, b) if len(a) <= len(b) else (b, a) for a, b in pairs]
+    fits = [k for k, (a, _) in enumerate(pairs) if 0 < len(a) <= WORD]
+    for k in set(range(len(pairs))) - set(fits):
+        out[k] = plain(*pairs[k])
+    fits.sort(key=lambda k: (len(pairs[k][1]), len(pairs[k][0])))
+    for at in range(0, len(fits), block):
+        part = fits[at : at + block]
+        out[part] = batch([pairs[k][0] for k in part], [pairs[k][1] for k in part])
+    return out
+
+
+def ratio_batch(pairs: list[tuple[str, str]]) -> np.ndarray:
+    def batch(short: list[str], long: list[str]) -> np.ndarray:
+        bits, n, m = _hits(short, long)
+        row = np.full(len(short), 2**64 - 1, dtype=np.uint64)
+        for j in range(bits.shape[1] - 1):
+            hit = row & bits[:, j]
+            row = (row + hit) | (row - hit)
+        return 2 * _zeros(row, n) / (n + m)
+
+    return _by_length(pairs, ratio, batch, BLOCK)
+
+
+def _slid_batch(short: list[str], long: list[str]) -> np.ndarray:
+    """_slid() of every pair: all stretches at once. Those that _slid() leaves out are never better than one that it looks at."""
+    bits, n, m = _hits(short, long)
+    ends = np.arange(1, int((n + m).max()))
+    start = np.maximum(ends - n[:, None], 0)
+    row, rows = np.full(start.shape, 2**64 - 1, dtype=np.uint64), np.arange(len(short))[:, None]
+    for t in range(int(n.max())):
+        at = start + t
+        hit = row & np.where(at < ends, bits[rows, np.minimum(at, m[:, None])], np.uint64(0))
+        row = (row + hit) | (row - hit)
+    wide = np.minimum(ends, m[:, None]) - start
+    return np.where(wide > 0, 2 * _zeros(row, n[:, None]) / np.maximum(n[:, None] + wide, 1), 0.0).max(axis=1)
+
+
+def partial_ratio_batch(pairs: list[tuple[str, str]]) -> np.ndarray:
+    out = np.array([1.0 if a in b or b in a else 0.0 for a, b in pairs])
+    rest = [k for k in np.flatnonzero(out == 0).tolist() if pairs[k][0] and pairs[k][1]]
+    found = _by_length([pairs[k] for k in rest], partial_ratio, _slid_batch, BLOCK // 8)
+    out[[k for k in rest]] = found
+    even = [k for k in rest if len(pairs[k][0]) == len(pairs[k][1]) <= WORD]  # the other way round as well
+    other = _by_length([pairs[k][::-1] for k in even], partial_ratio, _slid_batch, BLOCK // 8)
+    out[even] = np.maximum(out[even], other)
+    return out
+
+
+def token_sort_batch(pairs: list[tuple[str, str]]) -> np.ndarray:
+    return ratio_batch([(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) for a, b in pairs])
+
+
+def token_set_batch(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """The common words begin either side, so two of the three ratios are known from lengths; the third takes the table."""
+    out, open_ = np.zeros(len(pairs)), []
+    for k, (a, b) in enumerate(pairs):
+        x, y = set(a.split()), set(b.split())
+        if not x or not y:
+            continue
+        both, only_a, only_b = " ".join(sorted(x & y)), " ".join(sorted(x - y)), " ".join(sorted(y - x))
+        if both and (not only_a or not only_b):
+            out[k] = 1.0
+            continue
+        left, right, n = f"{both} {only_a}".strip(), f"{both} {only_b}".strip(), len(both)
+        out[k] = max(2 * n / (n + len(left)), 2 * n / (n + len(right))) if n else 0.0
+        open_.append((k, left, right))
+    if open_:
+        at = [k for k, _, _ in open_]
+        out[at] = np.maximum(out[at], ratio_batch([(x, y) for _, x, y in open_]))
+    return out
+
+
+def partial_token_set_batch(pairs: list[tuple[str, str]]) -> np.ndarray:
+    out, open_ = np.zeros(len(pairs)), []
+    for k, (a, b) in enumerate(pairs):
+        x, y = set(a.split()), set(b.split())
+        if x and y:
+            out[k] = 1.0 if x & y else 0.0
+            if not out[k]:
+                open_.append((k, " ".join(sorted(x)), " ".join(sorted(y))))
+    if open_:
+        out[[k for k, _, _ in open_]] = partial_ratio_batch([(x, y) for _, x, y in open_])
+    return out
+
+
+BATCHES: dict[str, Callable[[list[tuple[str, str]]], np.ndarray]] = {"ratio": ratio_batch, "partial_ratio": partial_ratio_batch, "token_sort_ratio": token_sort_batch, "token_set_ratio": token_set_batch, "partial_token_set_ratio": partial_token_set_batch}
+
 
 def ratios(a: Column, b: Column, *names: str) -> Column:
     """struct of the named ratios; all 0 if either string is null or empty."""
@@ -168,7 +291,11 @@ def ratios(a: Column, b: Column, *names: str) -> Column:
     def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for left, right in batches:
             x, y, codes = _distinct(left, right)
-            values = np.array([[RATIOS[n](p, q) if p and q else 0.0 for n in wanted] for p, q in zip(x, y, strict=True)], dtype=float).reshape(-1, len(wanted))
+            some = np.array([bool(p and q) for p, q in zip(x, y, strict=True)], dtype=bool)
+            pairs = [(p, q) for p, q in zip(x, y, strict=True) if p and q]
+            values = np.zeros((len(x), len(wanted)))
+            if pairs:
+                values[some] = np.column_stack([BATCHES[n](pairs) for n in wanted])
             yield pd.DataFrame(values[codes], columns=list(wanted))
 
     return scored(a, b)

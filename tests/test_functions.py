@@ -119,3 +119,19 @@ def test_match_lists(spark):
     raw = [None, "", "nan", "None", "S2-1, S3-2;S2-1", " S2-9 "]
     got = spark.createDataFrame([(k, r) for k, r in enumerate(raw)], "k int, r string").select("k", rich_text.match_list(F.col("r")).alias("m")).orderBy("k").collect()
     assert [r.m for r in got] == [[], [], [], [], ["S2-1", "S3-2"], ["S2-9"]]
+
+
+def test_partial_ratio_of_equal_lengths_is_symmetric():
+    assert similarity.partial_ratio("abqq", "zabz") == similarity.partial_ratio("zabz", "abqq") == pytest.approx(2 / 3)
+
+
+def test_batches_equal_the_plain_ratios():
+    rng = random.Random(6)
+    words = ["alpha", "beta", "gamma", "öster", "x", "ab", "ba", "corporation", "limited", "12", "日本"]
+    pairs = [(" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))), " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for _ in range(400)]
+    pairs += [("".join(rng.choice("abc ") for _ in range(rng.randint(1, 90))), "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))) for _ in range(300)]
+    pairs += [("".join(rng.choice("abcd") for _ in range(n)), "".join(rng.choice("abcd") for _ in range(n))) for n in (1, 2, 5, 30, 63, 64, 65, 100) for _ in range(12)]
+    for name, plain in similarity.RATIOS.items():
+        got = similarity.BATCHES[name](pairs)
+        assert [round(x, 9) for x in got.tolist()] == [round(plain(a, b), 9) for a, b in pairs], name
+        assert [round(x, 9) for x in similarity.BATCHES[name]([p[::-1] for p in pairs]).tolist()] == [round(x, 9) for x in got.tolist()], name
