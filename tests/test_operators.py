@@ -134,6 +134,17 @@ def test_tsv_round_trip(spark, tmp_path):
     assert list(tsv.discover(str(tmp_path))) == ["train_source2.tsv"]
     rows = {r.entity_id: r for r in tsv.records(spark, str(path)).collect()}
     assert rows["S2-1"].business_name == 'Acme "Foods' and rows["S2-1"].country is None and rows["S2-2"].business_address is None
+    other = tmp_path / "other.tsv"
+    other.write_text("Country\tNotes\nFrance\tx\n")
+    with pytest.raises(ValueError, match="no id column"):
+        tsv.records(spark, str(other))
+    header = ["Company_Name", "Entity", "Nation code", "Street Address", "my id"]
+    assert [tsv.column_for(header, c) for c in tsv.COLUMNS] == [1, 0, 3, 2] and tsv.column_for(["x", "width"], "entity_id") == 1
+    ragged = tmp_path / "ragged.tsv"
+    ragged.write_text("id\tname\na\tb\tc\n")
+    assert tsv.records(spark, str(ragged)).first().business_name == "b"
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        tsv.records(spark, str(ragged), quotes=True, strict=True).collect()
     assert tsv.row_count(spark, str(path)) == 2 and tsv.records(spark, str(path), limit=1).count() == 1
     gt = tmp_path / "truth.tsv"
     gt.write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S3-2\nS1-2\t\n")
