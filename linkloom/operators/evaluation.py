@@ -95,3 +95,17 @@ def block_recall(found: DataFrame, truth: DataFrame) -> DataFrame:
     marked = found.join(want.withColumn("hit", F.lit(1)), ["rid", "gid"], "left")
     each = marked.groupBy("bit").agg(F.count(F.lit(1)).alias("pairs"), F.count("hit").alias("positives"), F.countDistinct("rid").alias("entities"))
     return each.join(total, F.lit(True)).select("bit", "pairs", "positives", (F.col("positives") / F.greatest("total", F.lit(1))).alias("recall"), (F.col("pairs") / F.col("entities")).alias("mean_pairs"))
+
+
+def block_table(found: DataFrame, truth: DataFrame, s1: DataFrame, bits: dict[str, int]) -> DataFrame:
+    """For each named block alone: pairs, true pairs among them, recall over all true pairs, and mean, 95th and 99th percentile of its pairs for
+    a clean record, those with none counted. found: rid, gid, blocks (mask)."""
+    want = truth.select(F.col("s1_id").alias("rid"), F.col("entity_id").alias("gid")).distinct()
+    names = F.array(*[F.struct(F.lit(n).alias("block"), F.lit(b).alias("bit")) for n, b in bits.items()])
+    each = found.join(want.withColumn("hit", F.lit(1)), ["rid", "gid"], "left").select("rid", "blocks", "hit", F.explode(names).alias("b")).where(F.col("blocks").bitwiseAND(F.col("b.bit")) != 0)
+    counts = each.groupBy("rid", F.col("b.block").alias("block")).agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
+    grid = s1.select(F.col("entity_id").alias("rid"), F.explode(F.array(*[F.lit(n) for n in bits])).alias("block")).join(counts, ["rid", "block"], "left").fillna(0, ["n", "hits"])
+    q = F.percentile("n", F.array(F.lit(0.95), F.lit(0.99)))
+    rows = grid.groupBy("block").agg(F.sum("n").alias("pairs"), F.sum("hits").alias("positives"), F.avg("n").alias("mean"), q.alias("q"))
+    total = want.agg(F.count(F.lit(1)).alias("total"))
+    return rows.join(total, F.lit(True)).select("block", "pairs", "positives", (F.col("positives") / F.greatest("total", F.lit(1))).alias("recall"), "mean", F.col("q")[0].alias("p95"), F.col("q")[1].alias("p99"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import jaro_pair, levenshtein_ratio
 
+# The names of the features, in order.
 FEATURES = [
     "name_exact", "name_heavy_exact", "name_core_exact", "name_jw", "name_jaro", "name_lev_ratio", "name_token_jaccard", "name_partial", "name_len_ratio",
     "addr_exact", "addr_jw", "addr_lev_ratio", "addr_token_jaccard", "addr_len_ratio", "house_match", "postal_match", "country_equal", "country_conflict",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import ratios
 
+# The blocks' bits, then caps and limits of the blocks.
 BITS = {
     "exact_name": 1, "core_name": 2, "exact_address": 4, "name_housenumber": 8, "postal_name": 16, "rare_name_token": 32, "rare_addr_token": 64, "char_ngram": 128, "token_overlap": 256,
     "country_approx": 512, "addr_ngram": 1024, "exact_name_heavy": 2048,
@@ -118,12 +119,18 @@ def idf_overlap(pairs: DataFrame, s1: DataFrame, pool: DataFrame, name_idf: Data
 
 def rich_candidates(s1: DataFrame, pool: DataFrame) -> DataFrame:
     """All twelve blocks merged: rid, gid, source, blocks (mask), n_blocks, three ranks, token_overlap, ngram_jaccard, idf_overlap."""
+    merged, names = merged_blocks(s1, pool, list(BITS))
+    return idf_overlap(merged, s1, pool, names)
+
+
+def merged_blocks(s1: DataFrame, pool: DataFrame, wanted: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The pairs of the wanted blocks with what the blocks say of them, and the idf of name tokens."""
     names = idf(document_frequency(pool.unionByName(s1.withColumn("source", F.lit("S1")), allowMissingColumns=True), "name_tokens"), non_empty(pool, "name") + non_empty(s1, "name"))
     addresses = idf(document_frequency(pool.unionByName(s1.withColumn("source", F.lit("S1")), allowMissingColumns=True), "addr_tokens"), non_empty(pool, "addr") + non_empty(s1, "addr"))
     blank = {"name_rank": F.lit(NO_RANK), "ngram_rank": F.lit(NO_RANK), "addr_rank": F.lit(NO_RANK), "token_overlap": F.lit(0.0), "ngram_jaccard": F.lit(0.0)}
 
-    def block(name: str, pairs: DataFrame, **own) -> DataFrame:
-        return pairs.select("rid", "gid", "source", F.lit(BITS[name]).alias("bit"), *[(own.get(c, v)).alias(c) for c, v in blank.items()])
+    def block(name: str, pairs: DataFrame, **own) -> DataFrame | None:
+        return None if name not in wanted else pairs.select("rid", "gid", "source", F.lit(BITS[name]).alias("bit"), *[(own.get(c, v)).alias(c) for c, v in blank.items()])
 
     parts = [
         block("exact_name", exact(s1, pool, ["name"], True)), block("exact_name_heavy", exact(s1, pool, ["name_heavy"], True)), block("core_name", exact(s1, pool, ["name_core"], True)),
@@ -132,6 +139,7 @@ def rich_candidates(s1: DataFrame, pool: DataFrame) -> DataFrame:
         block("char_ngram", gram_overlap(s1, pool, "name_grams"), ngram_rank=F.col("rank"), ngram_jaccard=F.col("jaccard")), block("addr_ngram", gram_overlap(s1, pool, "addr_grams"), addr_rank=F.col("rank")),
         block("token_overlap", token_overlap(s1, pool), name_rank=F.col("rank"), token_overlap=F.col("overlap")), block("country_approx", country_approx(s1, pool)),
     ]
+    parts = [p for p in parts if p is not None]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -139,4 +147,4 @@ def rich_candidates(s1: DataFrame, pool: DataFrame) -> DataFrame:
         F.expr("bit_or(bit)").alias("blocks"), F.min("name_rank").alias("name_rank"), F.min("ngram_rank").alias("ngram_rank"), F.min("addr_rank").alias("addr_rank"),
         F.max("token_overlap").alias("token_overlap"), F.max("ngram_jaccard").alias("ngram_jaccard"),
     )
-    return idf_overlap(merged.withColumn("n_blocks", F.bit_count("blocks")), s1, pool, names)
+    return merged.withColumn("n_blocks", F.bit_count("blocks")), names

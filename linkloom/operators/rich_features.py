@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.similarity import jaro_winkler, ratios
 from .retrieval import BITS, NO_RANK, RARE, document_frequency
 
+# The blocks counted as strong, and the names of the features below.
 STRONG = ["exact_name", "core_name", "exact_address", "name_housenumber", "postal_name", "exact_name_heavy"]
-RETRIEVED = ["exact_name", "core_name", "exact_address", "name_housenumber", "postal_name", "rare_name_token", "rare_addr_token", "char_ngram", "token_overlap", "country_approx", "addr_ngram", "exact_name_heavy"]
 LAST_RANK = 1000
 VIEWS = ["name", "name_heavy", "name_core", "name_tokens", "core_tokens", "addr", "addr_heavy", "addr_tokens", "house", "postals", "country"]
 
@@ -91,7 +91,7 @@ def rich_features(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame
         "addr_present_both": _flag((s("addr") != "") & (c("addr") != "")), "country_equal": _same(s("country"), c("country")), "country_conflict": _flag((s("country") != "") & (c("country") != "") & (s("country") != c("country"))),
         "country_present_both": _flag((s("country") != "") & (c("country") != "")), "name_freq_log_s1": F.log1p(s("f_name")), "name_freq_log_cand": F.log1p(c("f_name")), "name_is_rare": _flag((c("f_name") > 0) & (c("f_name") <= RARE)),
         "core_name_freq_log_cand": F.log1p(c("f_core")), "addr_freq_log_cand": F.log1p(c("f_addr")), "rare_name_token_count_s1": s("rare_name"), "rare_addr_token_count_s1": s("rare_addr"),
-        "idf_token_overlap": F.col("idf_overlap"), "token_overlap": F.col("token_overlap"), **{f"retrieved_by_{b}": has(b).cast("int") for b in RETRIEVED},
+        "idf_token_overlap": F.col("idf_overlap"), "token_overlap": F.col("token_overlap"), **{f"retrieved_by_{b}": has(b).cast("int") for b in BITS},
         "number_of_blocks": F.col("n_blocks"), "name_retrieval_rank": F.least("name_rank", F.lit(LAST_RANK)), "ngram_retrieval_rank": F.least("ngram_rank", F.lit(LAST_RANK)), "addr_retrieval_rank": F.least("addr_rank", F.lit(LAST_RANK)),
         "cand_is_s3": (F.col("source") == "S3").cast("int"), "exact_block_count": F.bit_count(F.col("blocks").bitwiseAND(F.lit(hard))), "strong_block_count": F.bit_count(F.col("blocks").bitwiseAND(F.lit(strong))),
         "weak_block_count": F.bit_count(F.col("blocks").bitwiseAND(F.lit(weak))), "block_bitmask": F.col("blocks"), "block_count": F.col("n_blocks"),

@@ -46,9 +46,22 @@ def _scored(spark: SparkSession, sf_dir: str):
     return features.rule_score(features.pair_features(blocking.candidates(s1, pool), s1, pool)), s1, pool, truth
 
 
+_KEPT: list[DataFrame] = []
+
+
+def _keep(*frames: DataFrame, anew: bool = True) -> list[DataFrame]:
+    """Keeps frames that a lazy result reads more than once, and lets go of those of the query before."""
+    if anew:
+        while _KEPT:
+            _KEPT.pop().unpersist()
+    kept = [f.persist() for f in frames]
+    _KEPT.extend(kept)
+    return kept
+
+
 def _rich(spark: SparkSession, sf_dir: str):
     s1, pool, truth = adapters.directory(spark, sf_dir)
-    return rich_text.prepare(s1).persist(), rich_text.prepare(pool).persist(), truth  # read by every block
+    return *_keep(rich_text.prepare(s1), rich_text.prepare(pool)), truth  # read by every block
 
 
 # Text views over whole documents
@@ -264,7 +277,12 @@ def labelled_pairs(spark, d):
     return _labelled(spark, d).select("rid", "gid", "source", "p", "label")
 
 
-@query()
+def _key(columns: str, seed: int = sampling.SEED) -> str:
+    """sampling.key() in SQL."""
+    return f"('0x' || substr(md5(concat_ws('|', {columns}, '{seed}')), 1, 8))::bigint"
+
+
+@query(oracle.upto("scored", f"select rid, gid, source, p, label from (select *, sum(label) over (partition by rid) as pos, row_number() over (partition by rid, label order by {_key('rid, gid')}, gid) as k from labelled) where label = 1 or k <= greatest(3 * pos, 3)", _LABELLED))
 def sample_negatives(spark, d):
     return sampling.sample_negatives(_labelled(spark, d), 3)
 
@@ -284,7 +302,18 @@ def tier_budget(spark, d):
     return _tiers(spark, d).groupBy("label", "tier").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+def _mined() -> str:
+    """The budget spent tier by tier, then the rows of each tier with the smallest hashes."""
+    marked = f"tiers as (select rid, gid, (t.s1_id is not null)::int as label, {_TIER} as tier from feats left join truth t on t.s1_id = rid and t.entity_id = gid)"
+    rate = "case tier " + " ".join(f"when {t} then {r}" for t, r in sampling.RATES.items()) + " end"
+    wanted = f"wanted as (select tier, case when {rate} >= 1 then n else greatest(1, floor(n * {rate})) end as want from (select tier, count(*) as n from tiers where label = 0 group by tier))"
+    budget = f"budget as (select {sampling.RATIO} * greatest(1, count(*) filter (label = 1)) as budget from tiers)"
+    taken = "taken as (select tier, greatest(0, least(want, budget - coalesce(sum(want) over (order by tier rows between unbounded preceding and 1 preceding), 0))) as take from wanted, budget)"
+    cut = f"(select *, row_number() over (partition by label, tier order by {_key('rid, gid', sampling.SEED + 1)}, rid, gid) as k from tiers)"
+    return oracle.upto("feats", f"select rid, gid, label, tier from {cut} left join taken using (tier) where label = 1 or k <= take", ", ".join([marked, wanted, budget, taken]))
+
+
+@query(_mined())
 def mined_pairs(spark, d):
     return sampling.mine(_tiers(spark, d)).select("rid", "gid", "label", "tier")
 
@@ -295,16 +324,22 @@ def unmatched_truth(spark, d):
     return sampling.unmatched_truth(truth, pool.where("source = 'S2'")).select("s1_id", "entity_id")
 
 
-@query()
+@query(oracle.records(f"select entity_id, case when {_key('entity_id')} % 1000 < 200 then 'validation' else 'train' end as split from s1"))
 def split_entities(spark, d):
     return sampling.split_entities(_prepared(spark, d)[0].select("entity_id"))
 
 
-@query()
+@query(oracle.records(f"select entity_id from s1 order by {_key('entity_id')}, entity_id limit 500"))
 def sample_entities(spark, d):
     return sampling.sample_entities(_prepared(spark, d)[0].select("entity_id"), 500)
 
 
+@query(oracle.upto("ranked", "select rid, gid, source, block_mask, block_count from (select *, row_number() over (partition by rid order by block_count desc, block_mask desc, gid) as k from ranked) where k <= 20"))
+def capped_by_blocks(spark, d):
+    """The other cap, at 20 pairs: most blocks first, then the heavier weight (here the mask), then the id."""
+    return blocking.capped_by_blocks(blocking.merge(blocking.block_pairs(*_prepared(spark, d)[:2])), 20, "block_mask", "block_count")
+
+
 # Outputs and checks
 _LIST = "select entity_id as source1_entity_id, coalesce(ids, '') as {0} from s1 left join (select rid, string_agg(gid, ',' order by gid) as ids from {1} group by rid) m on m.rid = entity_id"
 
@@ -462,6 +497,46 @@ for _name, _columns, _country in (("rich_exact_name", ["name"], True), ("rich_ex
     query(_rich_exact(_columns, _country), _name)(lambda spark, d, c=_columns, s=_country: retrieval.exact(*_rich(spark, d)[:2], c, s))
 
 
+#: The blocks that SQL can state: all but the two that compare names by token sets.
+_STATED = {name: bit for name, bit in retrieval.BITS.items() if name not in ("postal_name", "country_approx")}
+
+
+def _stated_masks() -> str:
+    own = {
+        "exact_name": _rich_exact(["name"], True), "exact_name_heavy": _rich_exact(["name_heavy"], True), "core_name": _rich_exact(["name_core"], True), "exact_address": _rich_exact(["addr"], False),
+        "name_housenumber": _rich_exact(["name", "house"], False), "rare_name_token": oracle.rare_token("core_tokens", "name", "name_tokens", True), "rare_addr_token": oracle.rare_token("addr_tokens", "addr", "addr_tokens", False),
+        "char_ngram": oracle.gram_overlap("name_grams"), "addr_ngram": oracle.gram_overlap("addr_grams"), "token_overlap": SQL["token_overlap_block"],
+    }
+    parts = " union all ".join(f"select rid, gid, source, {bit} as bit from ({own[name]})" for name, bit in _STATED.items())
+    return f"select rid, gid, source, bit_or(bit) as blocks, count(*) as n_blocks from ({parts}) group by rid, gid, source"
+
+
+@query(_stated_masks())
+def rich_masks(spark, d):
+    """The merged masks of the ten blocks that SQL can state."""
+    return retrieval.merged_blocks(*_rich(spark, d)[:2], list(_STATED))[0].select("rid", "gid", "source", "blocks", F.col("n_blocks").cast("long").alias("n_blocks"))
+
+
+_BLOCK_ROWS = " union all ".join(f"select '{n}' as block, {b} as bit" for n, b in _STATED.items())
+
+
+@query(oracle.rich_query(f"""select block, sum(n)::bigint as pairs, sum(hits)::bigint as positives, round(sum(hits) / greatest((select count(*) from (select distinct s1_id, entity_id from truth)), 1), 6) as recall,
+    round(avg(n), 6) as mean, round(quantile_cont(n, 0.95), 6) as p95, round(quantile_cont(n, 0.99), 6) as p99
+  from (select block, s1.entity_id, count(m.rid) as n, count(t.s1_id) as hits from s1 cross join ({_BLOCK_ROWS}) b left join ({_stated_masks()}) m on m.rid = s1.entity_id and m.blocks & b.bit <> 0
+    left join (select distinct s1_id, entity_id from truth) t on t.s1_id = m.rid and t.entity_id = m.gid group by block, s1.entity_id) group by block"""))
+def rich_block_table(spark, d):
+    """What each block alone finds and costs."""
+    s1, pool, truth = _rich(spark, d)
+    return _round(evaluation.block_table(retrieval.merged_blocks(s1, pool, list(_STATED))[0], truth, s1, _STATED))
+
+
+@query()
+def rich_block_table12(spark, d):
+    """The same for all twelve blocks, of which SQL lacks the two that compare names."""
+    s1, pool, truth = _rich(spark, d)
+    return _round(evaluation.block_table(retrieval.rich_candidates(s1, pool), truth, s1, retrieval.BITS))
+
+
 @query()
 def rich_postal_name(spark, d):
     return retrieval.postal_name(*_rich(spark, d)[:2])
@@ -480,7 +555,7 @@ def rich_candidates(spark, d):
 @query()
 def rich_features79(spark, d):
     s1, pool, _ = _rich(spark, d)
-    return _round(rich_features.rich_features(retrieval.rich_candidates(s1, pool).persist(), s1, pool))
+    return _round(rich_features.rich_features(*_keep(retrieval.rich_candidates(s1, pool), anew=False), s1, pool))
 
 
 @query()
@@ -494,8 +569,8 @@ def ratio_features(spark, d):
 @query()
 def gbt_scores(spark, d):
     s1, pool, truth = adapters.trade(spark, d)
-    trained = lifecycle.train(s1, pool, truth, iterations=10)
-    left, right, found = lifecycle.prepared_candidates(s1, pool)
+    left, right, found = prepared = tuple(_keep(*lifecycle.prepared_candidates(s1, pool)))  # read by training and by the scores
+    trained = lifecycle.train(s1, pool, truth, prepared=prepared)
     return _round(model.score(trained.model, features.pair_features(found, left, right)), 4)
 
 

@@ -39,7 +39,7 @@ def variants(scored: DataFrame, truth: DataFrame, entities: DataFrame, base: dec
 
 
 def ladder(rows: DataFrame, truth: DataFrame, entities: DataFrame, iterations: int = 10) -> list[dict]:
-    """Macro F0.5 on held-out entities of two rules, a rung for each feature group, mined negatives, a tuned threshold, source thresholds,
+    """Macro F0.5 on held-out entities of two rules, a rung for each feature group, mined negatives, calibration, a tuned threshold, source thresholds,
     ambiguity rules and consistency. rows: labelled features with tier, persisted by the caller. All rungs use one set of entities."""
     split = sampling.split_entities(entities.select("entity_id"))
     held = split.where("split = 'validation'").select("entity_id")
@@ -60,8 +60,12 @@ def ladder(rows: DataFrame, truth: DataFrame, entities: DataFrame, iterations: i
     for group, columns in LADDER.items():
         features = features + columns
         record(f"+ {group}", decision.macro(model.score(model.train(sampling.global_cap(train), features, iterations), valid), own, held, fixed), f"{len(features)} features")
-    scored = model.score(model.train(sampling.mine(train), features, iterations), valid).persist()
+    raw = scored = model.score(model.train(sampling.mine(train), features, iterations), valid).persist()
     record("+ mined negatives", decision.macro(scored, own, held, fixed))
+    marked = sampling.labelled(scored, own).persist()
+    kind, fitted, score = model.best_calibrator(marked, own, held)
+    record("+ calibration", score, kind)
+    scored = model.calibrate(kind, fitted, marked).persist()
     best, score = decision.best_threshold(scored, own, held)
     record("+ threshold", score, f"{best.threshold}")
     best, score = decision.best_source_thresholds(scored, own, held, best)
@@ -70,6 +74,8 @@ def ladder(rows: DataFrame, truth: DataFrame, entities: DataFrame, iterations: i
     record("+ ambiguity", score, f"margin {best.margin}, top only {best.top_only}, at most {best.max_matches}")
     record("+ consistency", judged(decision.consistent(decision.accepted(scored, best), scored)), "kept only if it gains")
     scored.unpersist()
+    marked.unpersist()
+    raw.unpersist()
     return out
 
 
@@ -96,6 +102,20 @@ def log_experiment(spark: SparkSession, path: str, experiment: str, macro_f05: f
     row.select("experiment", F.current_timestamp().alias("at"), "macro_f05", "details").coalesce(1).write.mode("append").parquet(path)
 
 
+def write_json(spark: SparkSession, path: str, report: dict | list) -> None:
+    """A report as one JSON document, in any store that Spark writes."""
+    spark.createDataFrame([(json.dumps(report, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict | list:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def write_csv(table: DataFrame, path: str) -> None:
+    """A small table, such as the block table or the rungs of a ladder, as one CSV file with a header."""
+    table.coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
 def profile_report(records: DataFrame, truth_lists: DataFrame) -> tuple[dict, str]:
     """The profile as a JSON-ready dict, and as markdown. Only aggregates reach the driver."""
     rows = lambda df: [r.asDict() for r in df.collect()]

@@ -26,19 +26,39 @@ def prepared_candidates(s1: DataFrame, pool: DataFrame, cap: int = blocking.MAX_
     return left, right, blocking.candidates(left, right, cap=cap)
 
 
-def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 40) -> Trained:
-    """Blocks, injects what blocking missed into the training entities only, trains, and chooses the threshold on the held-out entities.
+#: Boosting rounds at most; they end earlier once the stopping entities gain no more.
+ROUNDS = 100
 
-    Recall is measured before injection, scores only on held-out entities.
+
+def stopping_rows(rows: DataFrame, share: int = 10) -> DataFrame:
+    """Marks (column stopping) a tenth of the training entities, by hash: trees don't learn on them, and rounds end when they gain nothing there."""
+    return rows.withColumn("stopping", sampling.key("rid", seed=sampling.SEED + 2) % share == 0)
+
+
+def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = ROUNDS, prepared: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> Trained:
+    """Blocks, injects what blocking missed into the training entities only, trains with early stopping, and chooses the threshold on the held-out entities.
+
+    Recall is measured before injection, scores only on held-out entities. prepared: prepared_candidates() of the lists, if the
+    caller has stored it. Here it is stored while it is read three times.
     """
-    left, right, found = prepared_candidates(s1, pool)
+    given = prepared is not None
+    left, right, found = prepared if given else (x.persist() for x in prepared_candidates(s1, pool))
+    try:
+        return _train(left, right, found, truth, iterations)
+    finally:
+        if not given:
+            for x in (found, left, right):
+                x.unpersist()
+
+
+def _train(left: DataFrame, right: DataFrame, found: DataFrame, truth: DataFrame, iterations: int) -> Trained:
     split = sampling.split_entities(left.select("entity_id"))
     train_ids, held_ids = split.where("split = 'train'").select("entity_id"), split.where("split = 'validation'").select("entity_id")
     own = truth.join(train_ids.withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi")
     inside = found.join(train_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
     rows = sampling.sample_negatives(sampling.labelled(features.pair_features(sampling.inject_positives(inside, own, right), left, right), own)).persist()
     try:  # counted, cut and read by every tree
-        fitted = model.train(sampling.global_cap(rows), features.FEATURES, iterations)
+        fitted = model.train(stopping_rows(sampling.global_cap(rows)), features.FEATURES, iterations, validation="stopping")
     finally:
         rows.unpersist()
     held = found.join(held_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
@@ -47,7 +67,9 @@ def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 40
         best, score = decision.best_threshold(scored, truth, held_ids, decision.production_grid(), fine=False)
     finally:
         scored.unpersist()
-    return Trained(fitted, best, score, evaluation.candidate_recall(found, truth, left, right))
+    recall = evaluation.candidate_recall(found, truth, left, right)
+    one = recall.first()
+    return Trained(fitted, best, score, recall.sparkSession.createDataFrame([tuple(one)], recall.schema))
 
 
 def predict(s1: DataFrame, pool: DataFrame, trained: Trained) -> tuple[DataFrame, DataFrame]:
@@ -60,5 +82,10 @@ def predict(s1: DataFrame, pool: DataFrame, trained: Trained) -> tuple[DataFrame
 
 def rule_scores(s1: DataFrame, pool: DataFrame) -> DataFrame:
     """Candidates scored by the rule instead of a model."""
-    left, right, found = prepared_candidates(s1, pool)
-    return features.rule_score(features.pair_features(found, left, right))
+    return rule_scores_prepared(s1, text.prepare(pool))
+
+
+def rule_scores_prepared(s1: DataFrame, right: DataFrame) -> DataFrame:
+    """rule_scores() against a pool whose views are there already."""
+    left = text.prepare(s1)
+    return features.rule_score(features.pair_features(blocking.candidates(left, right), left, right))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import rich_text
 from ..operators import decision, evaluation, model, retrieval, rich_features, sampling
 from ..sources.tsv import id_lists
+from .lifecycle import ROUNDS, stopping_rows
 
 KEYS = ["rid", "gid", "source"]
 
@@ -26,10 +27,16 @@ class RichTrained:
     macro_f05: float
 
 
-def featured(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(prepared clean records, features of all candidates). Twelve blocks read the prepared records, the features read the candidates: both are kept, spilling to disk."""
+def featured(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(prepared clean records, features of all candidates, what is kept). Twelve blocks read the prepared records, the features read the candidates: all three are kept, spilling to disk, until the caller releases them."""
     left, right = rich_text.prepare(s1).persist(), rich_text.prepare(pool).persist()
-    return left, rich_features.rich_features(retrieval.rich_candidates(left, right).persist(), left, right)
+    found = retrieval.rich_candidates(left, right).persist()
+    return left, rich_features.rich_features(found, left, right), [found, left, right]
+
+
+def release(kept: list[DataFrame]) -> None:
+    for x in kept:
+        x.unpersist()
 
 
 def with_tier(rows: DataFrame) -> DataFrame:
@@ -41,10 +48,10 @@ def scored_by(trained: RichTrained, features: DataFrame) -> DataFrame:
     return model.calibrate(trained.calibrator, trained.fitted, model.score(trained.model, features))
 
 
-def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = 30, searches: bool = True) -> RichTrained:
+def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = ROUNDS, searches: bool = True) -> RichTrained:
     """Entities are split three ways: trees learn on the first part, the calibrator on the second, and the searches and the score use the third.
     Without searches the decision is a threshold of 0.5, for a quick look."""
-    left, all_features = featured(s1, pool)
+    left, all_features, kept = featured(s1, pool)
     columns = [c for c in all_features.columns if c not in KEYS]
     rows = sampling.labelled(all_features, truth).persist()
     part = F.when(sampling.key("rid") % 10 < 6, 0).when(sampling.key("rid") % 10 < 8, 1).otherwise(2)
@@ -52,7 +59,7 @@ def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int
     of = lambda k: rows.where(part == k)
     ids = lambda k: entities.where(F.col("part") == k).select("entity_id")
     try:
-        trees = model.train(sampling.mine(with_tier(of(0))), columns, iterations)
+        trees = model.train(stopping_rows(sampling.mine(with_tier(of(0)))), columns, iterations, validation="stopping")
         second = sampling.labelled(model.score(trees, of(1)), truth).persist()
         kind, fitted, _ = model.best_calibrator(second, truth.join(ids(1).withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi"), ids(1))
         second.unpersist()
@@ -68,12 +75,12 @@ def train_rich(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int
         other = evaluation.entity_scores(checked, want, held).agg(F.avg("f05")).first()[0] or 0.0
         third.unpersist()
     finally:
-        rows.unpersist()
+        release([rows, *kept])
     return RichTrained(trees, columns, kind, fitted, best, other > score + decision.GAIN, max(score, other))
 
 
 def predict_rich(s1: DataFrame, pool: DataFrame, trained: RichTrained) -> DataFrame:
-    left, features = featured(s1, pool)
+    left, features, _ = featured(s1, pool)  # the result is lazy and reads what is kept
     scored = scored_by(trained, features)
     matches = decision.accepted(scored, trained.decision)
     return id_lists(left, decision.consistent(matches, scored) if trained.consistent else matches, "matched_entity_ids")

@@ -43,7 +43,7 @@ def test_experiments(spark, lists, tmp_path):
     featured = features.pair_features(found, left, right)
     rows = sampling.labelled(featured, truth).selectExpr("*", "case when name_jw > 0.8 then 0 when name_jw > 0.6 then 1 else 2 end as tier").persist()
     rungs = experiments.ladder(rows, truth, s1, iterations=2)
-    assert [r["experiment"] for r in rungs][:2] == ["exact name", "exact or core name"] and len(rungs) == 12
+    assert [r["experiment"] for r in rungs][:2] == ["exact name", "exact or core name"] and len(rungs) == 13 and rungs[8]["experiment"] == "+ calibration"
     assert rungs[-2]["macro_f05"] >= rungs[7]["macro_f05"] > 0.5
     tuned = experiments.tune(rows, truth, s1, features.FEATURES, trials=2, seconds=60)
     assert len(tuned) == 2 and tuned[0]["macro_f05"] >= tuned[1]["macro_f05"]
@@ -60,6 +60,13 @@ def test_report(spark, lists):
     assert found["truth"][0]["n_rows"] == 80 and "## countries" in text and json.dumps(found)
 
 
+def test_report_files(spark, tmp_path):
+    experiments.write_json(spark, str(tmp_path / "report"), {"é": [1, 2.5, None]})
+    assert experiments.read_json(spark, str(tmp_path / "report")) == {"é": [1, 2.5, None]}
+    experiments.write_csv(spark.createDataFrame([("a", 1), ("b", 2)], "block string, n int").repartition(3), str(tmp_path / "table"))
+    assert sorted(map(tuple, spark.read.csv(str(tmp_path / "table"), header=True).collect())) == [("a", "1"), ("b", "2")]
+
+
 def test_store(spark, lists):
     calls = []
 
