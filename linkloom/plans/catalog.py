@@ -501,13 +501,16 @@ for _name, _columns, _country in (("rich_exact_name", ["name"], True), ("rich_ex
 _STATED = {name: bit for name, bit in retrieval.BITS.items() if name not in ("postal_name", "country_approx")}
 
 
-def _stated_masks() -> str:
-    own = {
+def _stated_blocks() -> dict[str, str]:
+    return {
         "exact_name": _rich_exact(["name"], True), "exact_name_heavy": _rich_exact(["name_heavy"], True), "core_name": _rich_exact(["name_core"], True), "exact_address": _rich_exact(["addr"], False),
         "name_housenumber": _rich_exact(["name", "house"], False), "rare_name_token": oracle.rare_token("core_tokens", "name", "name_tokens", True), "rare_addr_token": oracle.rare_token("addr_tokens", "addr", "addr_tokens", False),
         "char_ngram": oracle.gram_overlap("name_grams"), "addr_ngram": oracle.gram_overlap("addr_grams"), "token_overlap": SQL["token_overlap_block"],
     }
-    parts = " union all ".join(f"select rid, gid, source, {bit} as bit from ({own[name]})" for name, bit in _STATED.items())
+
+
+def _stated_masks() -> str:
+    parts = " union all ".join(f"select rid, gid, source, {_STATED[name]} as bit from ({sql})" for name, sql in _stated_blocks().items())
     return f"select rid, gid, source, bit_or(bit) as blocks, count(*) as n_blocks from ({parts}) group by rid, gid, source"
 
 
@@ -530,6 +533,19 @@ def rich_block_table(spark, d):
     return _round(evaluation.block_table(retrieval.merged_blocks(s1, pool, list(_STATED))[0], truth, s1, _STATED))
 
 
+_PLAIN = list(oracle.stated_features(_STATED, retrieval.BITS, rich_features.STRONG))
+_DOUBLES = {c for c in _PLAIN if c.endswith(("_sim", "_ratio", "_coverage", "_jaccard", "_overlap", "_winkler")) or "freq_log" in c}
+
+
+@query(oracle.rich_features(_stated_blocks(), _STATED, retrieval.BITS, rich_features.STRONG, _DOUBLES))
+def rich_features_plain(spark, d):
+    """The 79 features but for the ratio family and its products, on the pairs of the ten blocks that SQL can state."""
+    s1, pool, _ = _rich(spark, d)
+    merged, names = retrieval.merged_blocks(s1, pool, list(_STATED))
+    found = _keep(retrieval.idf_overlap(merged, s1, pool, names), anew=False)[0]
+    return _round(rich_features.rich_features(found, s1, pool).select("rid", "gid", "source", *_PLAIN))
+
+
 @query()
 def rich_block_table12(spark, d):
     """The same for all twelve blocks, of which SQL lacks the two that compare names."""

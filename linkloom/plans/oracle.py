@@ -168,3 +168,113 @@ def rare_token(column: str, text: str, index_column: str, digits: bool) -> str:
 def gram_overlap(column: str) -> str:
     shared = f"select rid, gid, source, count(*) as shared, max(n) as n from (select entity_id as rid, len({column}) as n, unnest({column}) as term from s1) join posts using (term) group by rid, gid, source having count(*) >= 2"
     return rich_query(best("shared", shared, "rid, gid, source, shared, round(shared / n, 6) as jaccard"), postings(column, 8000))
+
+
+# The 79 features without those of the ratio family, stated plainly over pairs, s1 (s) and pool (c).
+_BOTH = "(s.{0} <> '' and c.{0} <> '')"
+_EQUAL = "(s.{0} <> '' and s.{0} = c.{0})::int"
+_RATE = "case when s.{0} <> '' and c.{0} <> '' then least(length(s.{0}), length(c.{0}))::double / greatest(length(s.{0}), length(c.{0})) else 0.0 end"
+_SHARE = "case when len(list_distinct(s.{0})) > 0 then len(list_intersect(list_distinct(s.{0}), list_distinct(c.{0})))::double / len(list_distinct(s.{0})) else 0.0 end"
+_BEGIN = "case when s.name <> '' and c.name <> '' then len(list_filter(range(1, least(length(s.name), length(c.name)) + 1), lambda i: left({0}, i) = left({1}, i)))::double / greatest(length(s.name), length(c.name)) else 0.0 end"
+
+
+def _overlap(a: str, b: str) -> str:
+    return f"case when len({a}) > 0 and len({b}) > 0 then len(list_intersect({a}, {b}))::double / len(list_distinct(list_concat({a}, {b}))) else 0.0 end"
+
+
+def _numbers(side: str) -> str:
+    return f"list_distinct(list_filter({side}.addr_tokens, lambda x: regexp_full_match(x, '[0-9]+')))"
+
+
+def _digits(side: str) -> str:
+    return f"list_distinct(list_filter(string_split({side}.addr, ''), lambda x: regexp_full_match(x, '[0-9]')))"
+
+
+def _token_at(side: str, k: int) -> str:
+    return f"coalesce({side}.addr_tokens[{k}], '')"
+
+
+def _bits(masks: list[int]) -> str:
+    return f"bit_count(blocks & {sum(masks)})"
+
+
+def stated_features(bits: dict[str, int], all_bits: dict[str, int], strong: list[str]) -> dict[str, str]:
+    """Feature -> SQL."""
+    first, last = (f"({_token_at('s', k)} <> '' and {_token_at('s', k)} = {_token_at('c', k)})::int" for k in (1, -1))
+    return {
+        "name_exact": _EQUAL.format("name"),
+        "name_heavy_exact": _EQUAL.format("name_heavy"),
+        "name_core_exact": _EQUAL.format("name_core"),
+        "name_jaro_winkler": "case when s.name <> '' and c.name <> '' then jaro_winkler_similarity(s.name, c.name) else 0.0 end",
+        "name_prefix_sim": _BEGIN.format("s.name", "c.name"),
+        "name_suffix_sim": _BEGIN.format("reverse(s.name)", "reverse(c.name)"),
+        "name_len_diff": "abs(length(s.name) - length(c.name))",
+        "name_len_ratio": _RATE.format("name"),
+        "name_tok_count_diff": "abs(len(list_distinct(s.name_tokens)) - len(list_distinct(c.name_tokens)))",
+        "name_common_tokens": "len(list_intersect(list_distinct(s.name_tokens), list_distinct(c.name_tokens)))",
+        "name_token_coverage": _SHARE.format("name_tokens"),
+        "name_core_token_coverage": _SHARE.format("core_tokens"),
+        "name_ngram_jaccard": "ngram_jaccard",
+        "addr_exact": _EQUAL.format("addr"),
+        "addr_heavy_exact": _EQUAL.format("addr_heavy"),
+        "addr_token_coverage": _SHARE.format("addr_tokens"),
+        "addr_len_diff": "abs(length(s.addr) - length(c.addr))",
+        "addr_len_ratio": _RATE.format("addr"),
+        "addr_num_overlap": _overlap(_numbers("s"), _numbers("c")),
+        "house_number_match": _EQUAL.format("house"),
+        "postal_match": "list_has_any(s.postals, c.postals)::int",
+        "addr_digit_overlap": _overlap(_digits("s"), _digits("c")),
+        "addr_first_token_match": first,
+        "addr_last_token_match": last,
+        "addr_completeness_agree": "((s.addr = '') = (c.addr = ''))::int",
+        "addr_missing_s1": "(s.addr = '')::int",
+        "addr_missing_cand": "(c.addr = '')::int",
+        "name_present_both": f"{_BOTH.format('name')}::int",
+        "addr_present_both": f"{_BOTH.format('addr')}::int",
+        "country_equal": _EQUAL.format("country"),
+        "country_conflict": "(s.country <> '' and c.country <> '' and s.country <> c.country)::int",
+        "country_present_both": f"{_BOTH.format('country')}::int",
+        "name_freq_log_s1": "ln(1 + coalesce(fs.n, 0))",
+        "name_freq_log_cand": "ln(1 + coalesce(fc.n, 0))",
+        "name_is_rare": f"(coalesce(fc.n, 0) between 1 and {RARE})::int",
+        "core_name_freq_log_cand": "ln(1 + coalesce(fk.n, 0))",
+        "addr_freq_log_cand": "ln(1 + coalesce(fa.n, 0))",
+        "rare_name_token_count_s1": "coalesce(rn.n, 0)",
+        "rare_addr_token_count_s1": "coalesce(ra.n, 0)",
+        "idf_token_overlap": "coalesce(io.total, 0.0)",
+        "token_overlap": "token_overlap",
+        **{f"retrieved_by_{n}": f"(blocks & {b} <> 0)::int" for n, b in all_bits.items()},
+        "number_of_blocks": "bit_count(blocks)",
+        "name_retrieval_rank": "name_rank",
+        "ngram_retrieval_rank": "ngram_rank",
+        "addr_retrieval_rank": "addr_rank",
+        "cand_is_s3": "(c.source = 'S3')::int",
+        "exact_block_count": _bits([all_bits[n] for n in strong if n != "postal_name"]),
+        "strong_block_count": _bits([all_bits[n] for n in strong]),
+        "weak_block_count": _bits([b for n, b in all_bits.items() if n not in strong]),
+        "block_bitmask": "blocks",
+        "block_count": "bit_count(blocks)",
+    }
+
+
+def rich_features(blocks: dict[str, str], bits: dict[str, int], all_bits: dict[str, int], strong: list[str], doubles: set[str]) -> str:
+    """blocks: name -> SQL of its pairs, with the ranks and weights that it gives."""
+    own = {"token_overlap": ("rank", "1000", "1000", "overlap", "0.0"), "char_ngram": ("1000", "rank", "1000", "0.0", "jaccard"), "addr_ngram": ("1000", "1000", "rank", "0.0", "0.0")}
+    names = ["name_rank", "ngram_rank", "addr_rank", "token_overlap", "ngram_jaccard"]
+    parts = " union all ".join(
+        f"select rid, gid, source, {bits[n]} as bit, " + ", ".join(f"{v} as {c}" for v, c in zip(own.get(n, ("1000", "1000", "1000", "0.0", "0.0")), names, strict=True)) + f" from ({sql})" for n, sql in blocks.items()
+    )
+    lowest, highest = ", ".join(f"least(min({c}), 1000) as {c}" for c in names[:3]), ", ".join(f"max({c}) as {c}" for c in names[3:])
+    shared = "unnest(list_intersect(list_distinct(s.core_tokens), list_distinct(c.core_tokens))) as term"
+    rare = "select entity_id, count(*) as n from (select entity_id, unnest(list_distinct({0})) as term from s1) join {1} using (term) where df <= {2}{3} group by entity_id"
+    ctes = [
+        EVERYONE, frequency("name_tokens", "name"), frequency("addr_tokens", "addr").replace("freq as", "afreq as", 1),
+        f"pairs as (select rid, gid, source, bit_or(bit) as blocks, {lowest}, {highest} from ({parts}) group by rid, gid, source)",
+        f"io as (select rid, gid, sum(coalesce(idf, 1.0)) as total from (select rid, gid, {shared} from pairs join s1 s on s.entity_id = rid join pool c on c.entity_id = gid) left join freq using (term) group by rid, gid)",
+        "names as (select name as v, count(*) as n from everyone where name <> '' group by name)", "addrs as (select addr as v, count(*) as n from everyone where addr <> '' group by addr)",
+        "cores as (select name_core as v, count(*) as n from (select name_core from s1 union all select name_core from pool) where name_core <> '' group by name_core)",
+        f"rn as ({rare.format('core_tokens', 'freq', RARE, '')})", "ra as (" + rare.format("addr_tokens", "afreq", RARE, " and not regexp_full_match(term, '[0-9]+')") + ")",
+    ]
+    columns = ", ".join(f"round({sql}, 6) as {n}" if n in doubles else f"{sql} as {n}" for n, sql in stated_features(bits, all_bits, strong).items())
+    joins = "join s1 s on s.entity_id = rid join pool c on c.entity_id = gid left join io using (rid, gid) left join names fs on fs.v = s.name left join names fc on fc.v = c.name left join cores fk on fk.v = c.name_core left join addrs fa on fa.v = c.addr left join rn on rn.entity_id = rid left join ra on ra.entity_id = rid"
+    return rich_query(f"select rid, gid, pairs.source, {columns} from pairs {joins}", *ctes)
