@@ -12,16 +12,17 @@ from linkloom.llm.common import documents, labels, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score toxicity.THRESHOLD or more go; the model is fitted on docs and the labels it may see."""
+    """Documents that score toxicity.THRESHOLD or more go; the model is fitted on docs and the labels it may see. Null texts count as empty and stay."""
     return toxicity.drop_toxic(docs, toxicity.fit(docs, toxicity.training_labels(labels(spark, sf_dir))))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space the row with the smallest doc_id stays; null counts as empty, repeated rows go."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8 or more; the smallest doc_id of each group stays."""
+    """Five-word shingles, similarity 0.8 or more; the smallest doc_id of each group stays, as do rows without an id or without words."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -31,6 +32,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as pieces in batches; a null or empty text is one piece without tokens, and no rows give none."""
     return packing.packed(docs)
 
 
