@@ -55,6 +55,8 @@ EVIDENCE = ["form", "gazetteer", "context"]
 ABSTAIN, FOR, AGAINST = 0, 1, 2
 #: Candidates that the span classifier is fitted on, those with the smallest hashes of candidate and context.
 SAMPLE = 20_000
+#: What the reliabilities over all kinds weigh against each candidate of a kind.
+PRIOR_WEIGHT = 1.0
 
 
 def luhn(digits: str) -> bool:
@@ -171,15 +173,16 @@ def shape(found: str) -> tuple[float, float, float]:
     return len(found) / 40, sum(c.isdigit() for c in found) / n, len(set(found)) / n
 
 
-def expectation_maximisation(counts: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[float, np.ndarray]:
+def expectation_maximisation(counts: dict[tuple[int, ...], int], rounds: int = 50, prior: np.ndarray | None = None) -> tuple[float, np.ndarray]:
     """Prevalence and reliabilities P(vote | class) for (class, labeler, vote), from counts of vote patterns.
 
-    A Dirichlet prior of ten counts, that a labeler is more often right than wrong and seldom speaks against personal data,
-    breaks the symmetry of the two classes.
+    A Dirichlet prior (class, labeler, vote), by default ten counts that a labeler is more often right than wrong and seldom speaks
+    against personal data, breaks the symmetry of the two classes.
     """
     patterns, n = np.array(list(counts), dtype=int).reshape(-1, len(EVIDENCE)), np.array(list(counts.values()), dtype=float)
-    prior = np.empty((2, len(EVIDENCE), 3))
-    prior[1], prior[0] = (5.0, 4.7, 0.3), (5.0, 1.0, 4.0)
+    if prior is None:
+        prior = np.empty((2, len(EVIDENCE), 3))
+        prior[1], prior[0] = (5.0, 4.7, 0.3), (5.0, 1.0, 4.0)
     table, share = prior / prior.sum(axis=2, keepdims=True), 0.5
     for _ in range(rounds):
         p = posterior(patterns, share, table)
@@ -219,7 +222,7 @@ def prior_model() -> Model:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """EM over the vote patterns of all candidates, for each kind its own, then the classifier on at most sample candidates.
+    """EM over the vote patterns of all candidates, over all kinds and then for each kind, then the classifier on at most sample candidates.
 
     Each task sends its pattern counts (at most 27 for each kind) and the sample candidates with the smallest hashes of their
     surroundings, in the order by which all tasks' rows are cut to the sample; both are bounded whatever the table, and how it is
@@ -251,9 +254,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     discard(rows)
     model = prior_model()
     patterns = [tuple(int(x) for x in v) for v in both["votes"]]
+    pooled: Counter = Counter()
+    for v, n in zip(patterns, both["n"], strict=True):
+        pooled[v[1:]] += int(n)
+    _, shared = expectation_maximisation({v: n for v, n in pooled.items() if n})
     for kind in range(len(KINDS)):
         own = {v[1:]: int(n) for v, n in zip(patterns, both["n"], strict=True) if n > 0 and v[0] == kind}
-        model.shares[kind], model.tables[kind] = expectation_maximisation(own)
+        # the form of a kind's candidates mostly says the same of all, and one labeler alone can't tell its own errors from other
+        # numbers; so a kind starts from the reliabilities over all kinds, which weigh as much as its candidates
+        model.shares[kind], model.tables[kind] = expectation_maximisation(own, prior=shared * (10.0 + PRIOR_WEIGHT * sum(own.values())))
     chosen = [(v, list(x)) for v, n, x in zip(patterns, both["n"], both["x"], strict=True) if n == 0]
     # the model's own view of every pattern keeps kinds that the sample lacks from being decided by nothing
     every = [(a, b, c) for a in range(3) for b in range(3) for c in range(3)]
