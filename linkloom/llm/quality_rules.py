@@ -19,8 +19,12 @@ MAX_LOST_PERCENT = 50
 MAX_SYMBOL_PERCENT = 30
 #: A line with so many menu separators, more than MENU_PERCENT of its words, is navigation.
 MENU_MARKS, MENU_PERCENT = 3, 20
-#: Phrases of page furniture, lower case.
-BOILERPLATE = ["all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of service", "terms of use", "click here", "sign in", "log in", "subscribe to our", "enable javascript", "back to top", "skip to content", "share this page"]
+#: Phrases of page furniture, lower case, and how a line that is cut off ends.
+BOILERPLATE = [
+    "all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of service", "terms of use", "click here", "sign in", "log in", "subscribe to our", "enable javascript", "back to top", "skip to content", "share this page",
+    "alle rechte vorbehalten", "cookies akzeptieren", "nach oben", "todos los derechos reservados", "aceptar cookies", "aviso legal", "tous droits", "accepter les cookies", "retour en haut",
+]
+CUT_OFF = ["...", "…"]
 
 
 def count_of(text: Column, characters: str) -> Column:
@@ -31,11 +35,19 @@ def count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(left)
 
 
-def line_fails(line: Column) -> Column:
-    """The rules on one line; one without a word passes. Symbols and exclamation marks are counted against the spaces plus one."""
+def line_fails(line: Column, lower: Column) -> Column:
+    """The rules on one line and its lower-case form; one without a word passes. Symbols and exclamation marks are counted against the spaces plus one.
+
+    Punctuation: too many symbols, or an end that is cut off. Navigation: menu separators. Boilerplate: phrases, each a scan for its bytes.
+    """
+    furniture = F.lit(False)
+    for phrase in BOILERPLATE:
+        furniture = furniture | F.contains(lower, F.lit(phrase))
+    for mark in CUT_OFF:
+        furniture = furniture | F.endswith(F.rtrim(line), F.lit(mark))
     words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     symbols, menu = count_of(line, SYMBOLS + "!"), count_of(line, "|>»•")
-    return (symbols * 100 > words * MAX_SYMBOL_PERCENT) | ((menu >= MENU_MARKS) & (menu * 100 > words * MENU_PERCENT)) | F.lower(line).rlike("|".join(BOILERPLATE))
+    return (symbols * 100 > words * MAX_SYMBOL_PERCENT) | ((menu >= MENU_MARKS) & (menu * 100 > words * MENU_PERCENT)) | furniture
 
 
 def repeated_words(words: Column) -> Column:
@@ -71,7 +83,7 @@ def quality_flags(docs: DataFrame) -> DataFrame:
         "doc_id", F.size("words").alias("n_words"), (F.length("text") - count_of(F.col("text"), " \t\n\x0b\x0c\r")).alias("word_chars"), count_of(F.col("text"), SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"), F.sort_array(repeated_words(F.col("words"))).alias("windows"),
         F.aggregate(F.transform("lines", lambda x: F.length(x)), F.lit(0), lambda a, x: a + x).alias("line_chars"),
-        F.length(without_breaks("text")).alias("all_chars"), F.array_join(F.filter(F.split("text", "\n"), lambda x: ~line_fails(x)), "\n").alias("cleaned"),
+        F.length(without_breaks("text")).alias("all_chars"), F.array_join(F.zip_with(F.split("text", "\n"), F.split(F.lower("text"), "\n"), lambda x, y: F.when(~line_fails(x, y), x)), "\n").alias("cleaned"),
     )
     size = F.size("windows")
     hashes = F.transform("windows", lambda x: x["h"])

@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from .quality_rules import BOILERPLATE, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MAX_SYMBOL_PERCENT, MENU_MARKS, MENU_PERCENT, MIN_WORDS
+from .quality_rules import BOILERPLATE, CUT_OFF, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MAX_SYMBOL_PERCENT, MENU_MARKS, MENU_PERCENT, MIN_WORDS
 
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -16,7 +16,7 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d
 _COUNT = "length({0}) - length(regexp_replace({0}, '{1}', '', 'g'))"
 _SYMBOLS, _MENU = _COUNT.format("x", "[#*$%&|<>!]"), _COUNT.format("x", "[|>»•]")
 _WORDS = "length(x) - length(replace(x, ' ', '')) + 1"
-_FAILS = f"(({_SYMBOLS}) * 100 > ({_WORDS}) * {MAX_SYMBOL_PERCENT} or (({_MENU}) >= {MENU_MARKS} and ({_MENU}) * 100 > ({_WORDS}) * {MENU_PERCENT}) or regexp_matches(lower(x), '{'|'.join(BOILERPLATE)}'))"
+_FAILS = f"(({_SYMBOLS}) * 100 > ({_WORDS}) * {MAX_SYMBOL_PERCENT} or (({_MENU}) >= {MENU_MARKS} and ({_MENU}) * 100 > ({_WORDS}) * {MENU_PERCENT}) or regexp_matches(lower(x), '{'|'.join(BOILERPLATE)}') or {' or '.join(f"suffix(rtrim(x, ' '), '{m}')" for m in CUT_OFF)})"
 
 OP9 = f"""
 with t as (

@@ -159,6 +159,10 @@ def test_runs_equal_brute_force():
 
 def test_cleaned_text_lacks_the_failing_lines(spark):
     good, menu, furniture = "a plain line of words é", "Home | News | Sport | More", "Please accept cookies now"
+    cut = ["and so it goes on and ... ", "weiter…", "ALLE RECHTE VORBEHALTEN", "Aviso legal", "# * $ % &", "wow!! so!! good!!"]
+    for line in cut:
+        only = quality_rules.quality_flags(docs(spark, [(1, f"{good}\n{line}\n{good} ... {good}")])).first()
+        assert only.cleaned == f"{good}\n{good} ... {good}", line
     rows = [(1, f"{good}\n{menu}\n\n {good} \n{furniture}\n"), (2, menu), (3, None), (4, good)]
     got = {r.doc_id: r for r in quality_rules.quality_flags(docs(spark, rows)).collect()}
     assert {k: r.cleaned for k, r in got.items()} == {1: f"{good}\n\n {good} \n", 2: "", 3: "", 4: good}
