@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import exact_dedup, packing, secret_scan, simhash, toxicity
-from linkloom.llm.common import documents, labels, materialize
+from linkloom.llm.common import discard, documents, labels, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +43,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order; what a stage leaves is written, read by the next one, and deleted once that one's rows are written too."""
     docs = documents(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialize(docs)
+            out = materialize(out)
+            if k:
+                discard(docs)
+        docs = out
     return docs
