@@ -37,20 +37,34 @@ def word(pattern: str) -> str:
 
 
 def name(text: Column) -> Column:
-    """Accents stripped, lower case, runs of anything but letters and digits as one space; not trimmed. Null is empty."""
-    return F.regexp_replace(F.lower(strip_accents(F.coalesce(text.cast("string"), F.lit("")))), r"[^\p{L}\p{N}]+", " ")
+    """Accents stripped, lower case, runs of anything but letters and digits as one space; not trimmed. Null is empty.
 
+    A text of as many bytes as characters has no accents, and its letters are known; it skips the table and Unicode's classes.
+    """
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")).otherwise(F.regexp_replace(F.lower(strip_accents(text)), r"[^\p{L}\p{N}]+", " "))
 
-def name_heavy(text: Column) -> Column:
-    out = name(text)
+
+def heavy_of(named: Column) -> Column:
+    """The heavy view of a column of name(). The words are looked for by their bytes before their limits are."""
+    out, some = named, F.lit(False)
     for long, short in HEAVY.items():
-        out = F.regexp_replace(out, word(long), short)
-    return F.trim(out)
+        out, some = F.regexp_replace(out, word(long), short), some | F.contains(named, F.lit(long))
+    return F.trim(F.when(some, out).otherwise(named))
 
 
-def name_core(text: Column) -> Column:
+def core_of(heavy: Column) -> Column:
     """Without legal forms; spaces that stood around one inside the name stay."""
-    return F.trim(F.regexp_replace(name_heavy(text), word("|".join(LEGAL)), " "))
+    return F.trim(F.regexp_replace(heavy, word("|".join(LEGAL)), " "))
+
+
+def name_heavy(text: Column) -> Column:
+    return heavy_of(name(text))
+
+
+def name_core(text: Column) -> Column:
+    return core_of(name_heavy(text))
 
 
 def address(text: Column) -> Column:
@@ -74,11 +88,13 @@ def postal(addr: Column) -> Column:
 def prepare(records: DataFrame) -> DataFrame:
     """Adds the text views to entity_id, business_name, business_address, country; the raw columns stay as raw_*.
 
-    Nulls and blanks end up empty, so later joins need no null-safe equality. Views are staged so that none is computed twice.
+    Nulls and blanks end up empty, so later joins need no null-safe equality. Each view is a select over the one before, so none is computed twice.
     """
     keep = [c for c in records.columns if c not in ("business_name", "business_address", "country")]
     raw = records.select(*keep, F.col("business_name").alias("raw_name"), F.col("business_address").alias("raw_addr"), F.col("country").alias("raw_country"))
-    views = raw.select("*", name(F.col("raw_name")).alias("name"), name_heavy(F.col("raw_name")).alias("name_heavy"), name_core(F.col("raw_name")).alias("name_core"), address(F.col("raw_addr")).alias("addr"), country(F.col("raw_country")).alias("country"))
+    named = raw.select("*", name(F.col("raw_name")).alias("name"), address(F.col("raw_addr")).alias("addr"), country(F.col("raw_country")).alias("country"))
+    heavy = named.select("*", heavy_of(F.col("name")).alias("name_heavy"))
+    views = heavy.select(*keep, "raw_name", "raw_addr", "raw_country", "name", "name_heavy", core_of(F.col("name_heavy")).alias("name_core"), "addr", "country")
     return views.select("*", F.substring("name_core", 1, 3).alias("name_prefix"), F.substring("addr", 1, 4).alias("addr_prefix"), house(F.col("addr")).alias("house"), postal(F.col("addr")).alias("postal"))
 
 

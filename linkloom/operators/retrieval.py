@@ -45,9 +45,9 @@ def postings(pool: DataFrame, column: str, cap: int) -> DataFrame:
 
 
 def best(pairs: DataFrame, weight: str, top: int = TOP) -> DataFrame:
-    """The heaviest pairs of each clean record, ties by id, with rank from 0."""
+    """The heaviest pairs of each clean record, ties by id, with rank from 0. The limit stands on the row number itself, so that each task cuts its pairs before they are shuffled."""
     order = Window.partitionBy("rid").orderBy(F.desc(weight), "gid")
-    return pairs.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < top)
+    return pairs.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= top).withColumn("rank", F.col("rn") - 1).drop("rn")
 
 
 def exact(s1: DataFrame, pool: DataFrame, columns: list[str], same_country: bool, cap: int = TOP) -> DataFrame:
@@ -72,10 +72,15 @@ def rare_token(s1: DataFrame, pool: DataFrame, frequency: DataFrame, column: str
     return best(shared.withColumn("weight", F.round("weight", 9)), "weight", top)
 
 
+def shared_grams(s1: DataFrame, pool: DataFrame, column: str) -> DataFrame:
+    """(rid, gid, source, shared, n): the grams that two records share, and those that the clean one has."""
+    left = s1.select(F.col("entity_id").alias("rid"), F.size(column).alias("n"), F.explode(column).alias("term"))
+    return left.join(postings(pool, column, GRAM_POSTINGS), "term").groupBy("rid", "gid", "source").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+
+
 def gram_overlap(s1: DataFrame, pool: DataFrame, column: str, top: int = TOP) -> DataFrame:
     """(rid, gid, source, shared, jaccard, rank): at least two shared grams; jaccard is shared over the clean record's grams."""
-    left = s1.select(F.col("entity_id").alias("rid"), F.size(column).alias("n"), F.explode(column).alias("term"))
-    shared = left.join(postings(pool, column, GRAM_POSTINGS), "term").groupBy("rid", "gid", "source").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).where("shared >= 2")
+    shared = shared_grams(s1, pool, column).where("shared >= 2")
     return best(shared, "shared", top).withColumn("jaccard", F.col("shared") / F.greatest("n", F.lit(1))).drop("n")
 
 
@@ -99,9 +104,12 @@ def postal_name(s1: DataFrame, pool: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def country_approx(s1: DataFrame, pool: DataFrame, top: int = TOP) -> DataFrame:
-    """(rid, gid, source): of the same country, sharing a core token or a gram, with token sets alike; countries over COUNTRY_ROWS candidates are left out."""
-    grams = s1.select(F.col("entity_id").alias("rid"), F.explode("name_grams").alias("term")).join(postings(pool, "name_grams", GRAM_POSTINGS), "term").select("rid", "gid", "source").distinct()
-    near = token_overlap(s1, pool, None).select("rid", "gid", "source").union(grams).distinct()
+    """(rid, gid, source): of the same country, sharing a core token or a gram, with token sets alike; countries over COUNTRY_ROWS candidates are left out.
+
+    The shared grams and tokens are the sums that the gram and token blocks make, all of them read, so that one plan with those blocks makes them once.
+    """
+    grams = shared_grams(s1, pool, "name_grams").where("shared >= 1 and n >= 0").select("rid", "gid", "source")
+    near = token_overlap(s1, pool, None).where("overlap > 0").select("rid", "gid", "source").union(grams).distinct()
     small = pool.groupBy("country").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= COUNTRY_ROWS).select("country")
     left = s1.where("name <> ''").select(F.col("entity_id").alias("rid"), F.col("name").alias("mine"), "country")
     right = pool.join(small, "country").select(F.col("entity_id").alias("gid"), F.col("name").alias("theirs"), F.col("country").alias("c_country"))

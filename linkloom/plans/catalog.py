@@ -64,9 +64,25 @@ def _rich(spark: SparkSession, sf_dir: str):
     return *_keep(rich_text.prepare(s1), rich_text.prepare(pool)), truth  # read by every block
 
 
-# Text views over whole documents
-for _name, _f, _duck in (("norm_name", text.name, text.duck_name), ("norm_heavy", text.name_heavy, text.duck_heavy), ("norm_core", text.name_core, text.duck_core), ("norm_addr", text.address, text.duck_address)):
-    query(f"select doc_id, {_duck('text')} as view from documents", _name)(lambda spark, d, f=_f: table(spark, d, "documents").select("doc_id", f(F.col("text")).alias("view")))
+# Text views over whole documents, each computed from the one before
+@query(f"select doc_id, {text.duck_name('text')} as view from documents")
+def norm_name(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.name(F.col("text")).alias("view"))
+
+
+@query(f"select doc_id, {text.duck_heavy('text')} as view from documents")
+def norm_heavy(spark, d):
+    return norm_name(spark, d).select("doc_id", text.heavy_of(F.col("view")).alias("view"))
+
+
+@query(f"select doc_id, {text.duck_core('text')} as view from documents")
+def norm_core(spark, d):
+    return norm_heavy(spark, d).select("doc_id", text.core_of(F.col("view")).alias("view"))
+
+
+@query(f"select doc_id, {text.duck_address('text')} as view from documents")
+def norm_addr(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.address(F.col("text")).alias("view"))
 
 
 @query(f"select doc_id, regexp_extract({text.duck_address('text')}, '([0-9]{{1,6}})', 1) as house from documents")
