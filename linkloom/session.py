@@ -24,8 +24,22 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     return spark
 
 
+#: Tables whose rows much is computed from.
+LARGE = {"customer", "orders", "lineitem", "events", "documents"}
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """The rows of a scan, dealt out over all cores if the files have fewer parts than cores, as a small table of one row group has.
+
+    A scan of more parts, such as any table of a cluster's size, stays as it is and shuffles nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in LARGE else scan
 
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
