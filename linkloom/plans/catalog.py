@@ -251,7 +251,9 @@ def error_analysis(spark, d):
 
 
 # Candidate sets
-@query(oracle.upto("found", "select found, total, round(found / total, 6) as recall, n_pairs, round(1 - n_pairs / (n1 * n2), 6) as reduction_ratio from (select (select count(*) from truth t join found f on f.rid = t.s1_id and f.gid = t.entity_id) as found, (select count(*) from truth) as total, (select count(*) from found) as n_pairs, (select count(*) from s1) as n1, (select count(*) from pool) as n2)"))
+@query(oracle.upto("found", """select found, total, round(found / total, 6) as recall, n_pairs, round(1 - n_pairs / (n1 * n2), 6) as reduction_ratio
+  from (select (select count(*) from truth t join found f on f.rid = t.s1_id and f.gid = t.entity_id) as found, (select count(*) from truth) as total,
+    (select count(*) from found) as n_pairs, (select count(*) from s1) as n1, (select count(*) from pool) as n2)"""))
 def candidate_recall(spark, d):
     s1, pool, truth = _prepared(spark, d)
     return _round(evaluation.candidate_recall(blocking.candidates(s1, pool), truth, s1, pool))
@@ -303,7 +305,11 @@ def sample_negatives(spark, d):
     return sampling.sample_negatives(_labelled(spark, d), 3)
 
 
-_TIER = "case when (name_jw >= 0.85 and addr_jw >= 0.85) or name_core_exact > 0 or (name_jw >= 0.90 and (postal_match > 0 or house_match > 0)) then 0 when name_jw >= 0.72 or (name_jw >= 0.55 and addr_jw >= 0.70) or (name_jw >= 0.60 and house_match > 0) or name_token_jaccard >= 0.80 then 1 when name_jw >= 0.45 or name_token_jaccard >= 0.5 or name_token_jaccard >= 0.60 or addr_jw >= 0.75 then 2 else 3 end"
+_TIER = """case
+  when (name_jw >= 0.85 and addr_jw >= 0.85) or name_core_exact > 0 or (name_jw >= 0.90 and (postal_match > 0 or house_match > 0)) then 0
+  when name_jw >= 0.72 or (name_jw >= 0.55 and addr_jw >= 0.70) or (name_jw >= 0.60 and house_match > 0) or name_token_jaccard >= 0.80 then 1
+  when name_jw >= 0.45 or name_token_jaccard >= 0.5 or name_token_jaccard >= 0.60 or addr_jw >= 0.75 then 2
+  else 3 end"""
 
 
 def _tiers(spark, d):
@@ -379,7 +385,9 @@ def submission_checks(spark, d):
 
 
 # Profiles
-_FIELD = "select '{0}' as field, count(*) as n, count(*) filter ({0} is null) as null_count, count(*) filter (trim(coalesce({0}, '')) = '') as empty_or_blank, count(distinct coalesce({0}, '')) as n_unique, min(length(coalesce({0}, ''))) as min_len, max(length(coalesce({0}, ''))) as max_len, round(avg(length(coalesce({0}, ''))), 6) as mean_len, quantile_cont(length(coalesce({0}, '')), 0.5)::double as median_len, round(quantile_cont(length(coalesce({0}, '')), 0.95), 6) as p95_len from noisy"
+_FIELD = """select '{0}' as field, count(*) as n, count(*) filter ({0} is null) as null_count, count(*) filter (trim(coalesce({0}, '')) = '') as empty_or_blank,
+  count(distinct coalesce({0}, '')) as n_unique, min(length(coalesce({0}, ''))) as min_len, max(length(coalesce({0}, ''))) as max_len, round(avg(length(coalesce({0}, ''))), 6) as mean_len,
+  quantile_cont(length(coalesce({0}, '')), 0.5)::double as median_len, round(quantile_cont(length(coalesce({0}, '')), 0.95), 6) as p95_len from noisy"""
 
 
 @query(oracle.records(" union all ".join(_FIELD.format(f) for f in profile.FIELDS)))
@@ -438,7 +446,9 @@ def _lists(spark, d):
     return joined.select("source1_entity_id", rich_text.match_list(F.col("matched_entity_ids")).alias("ids"))
 
 
-@query(oracle.records(f", {_LISTS} select count(*) as n_rows, count(distinct source1_entity_id) as n_unique_s1, count(*) - count(distinct source1_entity_id) as duplicate_s1_rows, count(*) filter (len(coalesce(ids, [])) = 0) as n_singletons, count(*) filter (len(ids) >= 2) as n_multi_match_entities, sum(len(ids))::bigint as positive_match_ids_total, sum(len(list_filter(ids, lambda x: starts_with(x, 'S2-'))))::bigint as s2_positive_count, sum(len(list_filter(ids, lambda x: starts_with(x, 'S3-'))))::bigint as s3_positive_count from lists"))
+@query(oracle.records(f""", {_LISTS} select count(*) as n_rows, count(distinct source1_entity_id) as n_unique_s1, count(*) - count(distinct source1_entity_id) as duplicate_s1_rows,
+  count(*) filter (len(coalesce(ids, [])) = 0) as n_singletons, count(*) filter (len(ids) >= 2) as n_multi_match_entities, sum(len(ids))::bigint as positive_match_ids_total,
+  sum(len(list_filter(ids, lambda x: starts_with(x, 'S2-'))))::bigint as s2_positive_count, sum(len(list_filter(ids, lambda x: starts_with(x, 'S3-'))))::bigint as s3_positive_count from lists"""))
 def truth_profile(spark, d):
     return profile.truth_profile(_lists(spark, d))
 

@@ -133,9 +133,16 @@ _POSTALS = "list_distinct(list_concat(list_concat(list_filter(numbers, lambda r:
 def rich(relation: str, keep: str) -> str:
     legal = ", ".join(f"'{t}'" for t in rich_text.LEGAL_TOKENS)
     steps = f"select {keep}, business_name as raw_name, business_address as raw_addr, {_clean('business_name')} as name, {_clean('business_address')} as addr, {_clean('country')} as clean_country from {relation}"
-    steps = f"select *, array_to_string(list_transform({_words(_phrases('name'))}, lambda t: {_case('t', rich_text.NAME_WORDS)}), ' ') as name_heavy, array_to_string(list_transform(list_transform({_words('addr')}, lambda t: {_case('t', rich_text.ADDRESS_WORDS)}), lambda t: case when regexp_full_match(t, '[0-9]+') then coalesce(nullif(ltrim(t, '0'), ''), '0') else t end), ' ') as addr_heavy, {_case('clean_country', rich_text.COUNTRIES)} as country, {_words('name')} as name_tokens, {_words('addr')} as addr_tokens, regexp_extract_all(coalesce(raw_addr, ''), '[0-9]+') as numbers from ({steps})"
+    heavy_name = f"array_to_string(list_transform({_words(_phrases('name'))}, lambda t: {_case('t', rich_text.NAME_WORDS)}), ' ')"
+    short = f"list_transform({_words('addr')}, lambda t: {_case('t', rich_text.ADDRESS_WORDS)})"
+    heavy_addr = f"array_to_string(list_transform({short}, lambda t: case when regexp_full_match(t, '[0-9]+') then coalesce(nullif(ltrim(t, '0'), ''), '0') else t end), ' ')"
+    tokens = f"{_words('name')} as name_tokens, {_words('addr')} as addr_tokens, regexp_extract_all(coalesce(raw_addr, ''), '[0-9]+') as numbers"
+    steps = f"select *, {heavy_name} as name_heavy, {heavy_addr} as addr_heavy, {_case('clean_country', rich_text.COUNTRIES)} as country, {tokens} from ({steps})"
     steps = f"select *, list_filter({_words('name_heavy')}, lambda w: w not in ({legal})) as kept, replace(name_heavy, ' ', '') as name_solid, replace(addr_heavy, ' ', '') as addr_solid from ({steps})"
-    return f"select * exclude (kept, name_solid, addr_solid, numbers), numbers, list_filter(kept, lambda w, i: i = 1 or kept[i - 1] <> w) as core_tokens, {_GRAMS.format('name_solid')} as name_grams, {_GRAMS.format('addr_solid')} as addr_grams, {_POSTALS} as postals, coalesce(nullif(ltrim(numbers[1], '0'), ''), case when len(numbers) > 0 then '0' else '' end) as house from ({steps})"
+    core = "list_filter(kept, lambda w, i: i = 1 or kept[i - 1] <> w) as core_tokens"
+    grams = f"{_GRAMS.format('name_solid')} as name_grams, {_GRAMS.format('addr_solid')} as addr_grams"
+    house = "coalesce(nullif(ltrim(numbers[1], '0'), ''), case when len(numbers) > 0 then '0' else '' end) as house"
+    return f"select * exclude (kept, name_solid, addr_solid, numbers), numbers, {core}, {grams}, {_POSTALS} as postals, {house} from ({steps})"
 
 
 RICH = f"clean as ({DIRECTORY_CLEAN}), noisy as ({DIRECTORY_NOISY}), truth as ({DIRECTORY_TRUTH}), s1 as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('clean', 'entity_id')})), pool as (select *, array_to_string(core_tokens, ' ') as name_core from ({rich('noisy', 'entity_id, source')}))"

@@ -35,7 +35,13 @@ def synthetic(spark: SparkSession, n: int, seed: int = 13, test: bool = False) -
     """(s1, candidates, truth): 30 % of the clean records without a match, 45 % with one draw, 25 % with two or three; a draw copies a record with one edit
     to S2 or S3; up to two decoys for each record go to S2. A test set also has a country that training lacks."""
     s, countries = F.lit(seed), COUNTRIES + ([TEST_COUNTRY] if test else [])
-    base = spark.range(n).select("id", F.concat_ws(" ", F.initcap(_pick(FIRST, F.col("id"), s, F.lit(1))), F.initcap(_pick(SECOND, F.col("id"), s, F.lit(2))), F.concat(F.lit("No"), F.col("id").cast("string")), _pick(FORMS, F.col("id"), s, F.lit(3))).alias("name"), F.concat_ws(" ", (F.pmod(F.xxhash64("id", s, F.lit(4)), F.lit(900)) + 1).cast("string"), _pick(STREETS, F.col("id"), s, F.lit(5)), (F.pmod(F.xxhash64("id", s, F.lit(6)), F.lit(90000)) + 10000).cast("string")).alias("address"), _pick(countries, F.col("id"), s, F.lit(7)).alias("country"))
+    row = F.col("id")
+    number = F.concat(F.lit("No"), row.cast("string"))
+    called = F.concat_ws(" ", F.initcap(_pick(FIRST, row, s, F.lit(1))), F.initcap(_pick(SECOND, row, s, F.lit(2))), number, _pick(FORMS, row, s, F.lit(3)))
+    house = (F.pmod(F.xxhash64("id", s, F.lit(4)), F.lit(900)) + 1).cast("string")
+    postal = (F.pmod(F.xxhash64("id", s, F.lit(6)), F.lit(90000)) + 10000).cast("string")
+    placed = F.concat_ws(" ", house, _pick(STREETS, row, s, F.lit(5)), postal)
+    base = spark.range(n).select("id", called.alias("name"), placed.alias("address"), _pick(countries, row, s, F.lit(7)).alias("country"))
     s1 = base.select(F.concat(F.lit("S1-"), F.col("id").cast("string")).alias("entity_id"), F.col("name").alias("business_name"), F.col("address").alias("business_address"), "country")
     share = _chance(F.col("id"), s, F.lit(8))
     draws = F.when(share < SINGLETONS, 0).when(share < ONE_DRAW, 1).otherwise(2 + F.pmod(F.xxhash64("id", s, F.lit(9)), F.lit(2)).cast("int"))
@@ -44,7 +50,11 @@ def synthetic(spark: SparkSession, n: int, seed: int = 13, test: bool = False) -
     address = F.when(_chance(F.col("id"), F.col("draw"), s, F.lit(2)) < 30, F.regexp_replace(F.regexp_replace("address", "Road", "Rd"), "Street", "St")).otherwise(F.col("address"))
     copies = drawn.withColumn("source", source).select(F.concat_ws("-", "source", F.concat_ws("0", F.col("id").cast("string"), F.col("draw").cast("string"))).alias("entity_id"), "source", _edited(F.col("name"), F.pmod(F.xxhash64("id", "draw", s), F.lit(9)).cast("int")).alias("business_name"), address.alias("business_address"), "country", F.col("id").alias("of"))
     decoys = base.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(2)))).where(_chance(F.col("id"), F.col("draw"), s, F.lit(3)) < 50)
-    decoys = decoys.select(F.concat_ws("-", F.lit("S2"), F.lit("d"), F.col("id").cast("string"), F.col("draw").cast("string")).alias("entity_id"), F.lit("S2").alias("source"), F.concat_ws(" ", F.initcap(_pick(FIRST, F.col("id"), F.col("draw"), s)), F.element_at(F.split("name", " "), 2), F.lit("Traders")).alias("business_name"), F.col("address").alias("business_address"), "country", F.lit(None).cast("long").alias("of"))
+    own_id = F.concat_ws("-", F.lit("S2"), F.lit("d"), F.col("id").cast("string"), F.col("draw").cast("string"))
+    trader = F.concat_ws(" ", F.initcap(_pick(FIRST, F.col("id"), F.col("draw"), s)), F.element_at(F.split("name", " "), 2), F.lit("Traders"))
+    decoys = decoys.select(
+        own_id.alias("entity_id"), F.lit("S2").alias("source"), trader.alias("business_name"), F.col("address").alias("business_address"), "country", F.lit(None).cast("long").alias("of")
+    )
     pool = copies.unionByName(decoys)
     truth = pool.where("of is not null").select(F.concat(F.lit("S1-"), F.col("of").cast("string")).alias("s1_id"), "entity_id")
     return s1, pool.drop("of"), truth
