@@ -219,18 +219,20 @@ def bounded(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def shingle_arrays(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, set) of the documents in ids: the sorted hashes of shingle_set()."""
+    """(doc_id, set) of the documents in ids (materialized, distinct): the sorted hashes of shingle_set(). Texts are shuffled only where the ids are too many to broadcast."""
 
     @F.pandas_udf("array<long>")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
 
-    return docs.select("doc_id", _bytes_of_text().alias("text")).join(ids, "doc_id", "left_semi").select("doc_id", hashed("text").alias("set"))
+    return docs.select("doc_id", _bytes_of_text().alias("text")).join(small(ids, ids.count()), "doc_id", "left_semi").select("doc_id", hashed("text").alias("set"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs (a, b) those whose shingle sets reach the similarity."""
+    """Of materialized pairs (a, b) those whose shingle sets reach the similarity."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = sets.join(small(ids, 2 * pairs.count()), "doc_id", "left_semi")  # few of the sets are in a pair
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity) - F.lit(1e-9)).select("a", "b").distinct()
@@ -312,7 +314,7 @@ def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -
     cells = shared_cells(rows)
     star = cells.where("doc_id <> pivot").select(*_pair(F.col("pivot"), F.col("doc_id")))
     pairs = materialize(bounded(star.union(grid_pairs(rows)).distinct(), rows, similarity))
-    ids = cells.select("doc_id").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    ids = materialize(cells.select("doc_id").union(pairs.select("a")).union(pairs.select("b")).distinct())
     sets = materialize(shingle_arrays(docs, ids))
     links = materialize(verified(pairs, sets, similarity))
     first = connected_components(links).withColumnRenamed("node", "doc_id")
@@ -320,9 +322,10 @@ def near_duplicate_components(docs: DataFrame, similarity: float = SIMILARITY) -
     open_ = others.groupBy("band", "cell").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("band", "cell")
     members = materialize(others.join(open_, ["band", "cell"], "left_semi").select("doc_id", "component").distinct().join(sets, "doc_id"))
     proposed = prefix_pairs(members, similarity)
-    more = materialize(verified(bounded(proposed, rows, similarity), sets, similarity))
+    likely = materialize(bounded(proposed, rows, similarity))
+    more = materialize(verified(likely, sets, similarity))
     found = connected_components(first.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).union(more))
-    discard(rows, cells, pairs, sets, links, others, members, proposed, more)
+    discard(rows, cells, pairs, ids, sets, links, others, members, proposed, likely, more)
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
 
