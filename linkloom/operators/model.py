@@ -16,14 +16,34 @@ from pyspark.sql import functions as F
 from .decision import Decision, macro
 
 SEED = 42
+#: Equal rows travel as one part for so many of them, and as so many parts at most.
+SHARED_FROM, SHARES = 100, 10
+#: Weighted rows in a task of a tree's level: rounds are many and short.
+ROWS_PER_TASK = 50_000
 
 
 def train(rows: DataFrame, features: list[str], iterations: int = 40, depth: int = 5, step: float = 0.1, validation: str | None = None) -> PipelineModel:
-    """A boosted-tree pipeline on label; with a boolean validation column rounds stop early on those rows."""
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=iterations, maxDepth=depth, stepSize=step, subsamplingRate=0.9, seed=SEED, validationTol=1e-4)
+    """A boosted-tree pipeline on label; with a boolean validation column rounds stop early on those rows. Every row counts: rows that are equal in all
+    features travel as one with their number as weight."""
+    weighted = condensed(rows, [*features, "label", *([validation] if validation else [])]).persist()
+    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=iterations, maxDepth=depth, stepSize=step, subsamplingRate=0.9, seed=SEED, validationTol=1e-4, weightCol="weight")
     if validation:
         trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), trees]).fit(rows)
+    try:
+        parts = max(1, -(-weighted.count() // ROWS_PER_TASK))
+        whole = [c for c in weighted.columns if c != "weight"]
+        dealt = weighted.repartition(parts, *whole).sortWithinPartitions(*whole, "share")
+        return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), trees]).fit(dealt)
+    finally:
+        weighted.unpersist()
+
+
+def condensed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that are equal in columns as one, with column weight, their number. Many of them are dealt as up to SHARES parts of equal weight (column share),
+    so that a round's subsample leaves out a part of them, as it does of single rows."""
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    shares = F.least(F.lit(SHARES), F.ceil(F.col("n") / SHARED_FROM)).cast("int")
+    return counted.withColumn("share", F.explode(F.sequence(F.lit(1), shares))).select(*columns, "share", (F.col("n") / shares).alias("weight"))
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:

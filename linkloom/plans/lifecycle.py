@@ -35,34 +35,35 @@ def stopping_rows(rows: DataFrame, share: int = 10) -> DataFrame:
     return rows.withColumn("stopping", sampling.key("rid", seed=sampling.SEED + 2) % share == 0)
 
 
-def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = ROUNDS, prepared: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> Trained:
+def train(s1: DataFrame, pool: DataFrame, truth: DataFrame, iterations: int = ROUNDS, prepared: tuple[DataFrame, DataFrame, DataFrame] | None = None, featured: DataFrame | None = None) -> Trained:
     """Blocks, injects what blocking missed into the training entities only, trains with early stopping, and chooses the threshold on the held-out entities.
 
     Recall is measured before injection, scores only on held-out entities. prepared: prepared_candidates() of the lists, if the
-    caller has stored it. Here it is stored while it is read three times.
+    caller has stored it. Here it is stored while it is read three times. featured: features of its pairs, if the caller reads them as well.
     """
     given = prepared is not None
     left, right, found = prepared if given else (x.persist() for x in prepared_candidates(s1, pool))
     try:
-        return _train(left, right, found, truth, iterations)
+        return _train(left, right, found, truth, iterations, featured)
     finally:
         if not given:
             for x in (found, left, right):
                 x.unpersist()
 
 
-def _train(left: DataFrame, right: DataFrame, found: DataFrame, truth: DataFrame, iterations: int) -> Trained:
+def _train(left: DataFrame, right: DataFrame, found: DataFrame, truth: DataFrame, iterations: int, featured: DataFrame | None) -> Trained:
     split = sampling.split_entities(left.select("entity_id"))
     train_ids, held_ids = split.where("split = 'train'").select("entity_id"), split.where("split = 'validation'").select("entity_id")
     own = truth.join(train_ids.withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi")
-    inside = found.join(train_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
-    rows = sampling.sample_negatives(sampling.labelled(features.pair_features(sampling.inject_positives(inside, own, right), left, right), own)).persist()
+    featured = features.pair_features(found, left, right) if featured is None else featured
+    ids = lambda df: df.withColumnRenamed("entity_id", "rid")
+    missed = features.pair_features(sampling.missed_positives(found.join(ids(train_ids), "rid", "left_semi"), own, right), left, right)
+    rows = sampling.sample_negatives(sampling.labelled(featured.join(ids(train_ids), "rid", "left_semi").unionByName(missed), own)).persist()
     try:  # counted, cut and read by every tree
         fitted = model.train(stopping_rows(sampling.global_cap(rows)), features.FEATURES, iterations, validation="stopping")
     finally:
         rows.unpersist()
-    held = found.join(held_ids.withColumnRenamed("entity_id", "rid"), "rid", "left_semi")
-    scored = model.score(fitted, features.pair_features(held, left, right)).persist()
+    scored = model.score(fitted, featured.join(ids(held_ids), "rid", "left_semi")).persist()
     try:
         best, score = decision.best_threshold(scored, truth, held_ids, decision.production_grid(), fine=False)
     finally:
