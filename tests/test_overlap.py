@@ -51,3 +51,13 @@ def test_scores_are_made_once_for_equal_names(spark):
     pairs = spark.range(1000).select("id", (F.col("id") % 2).alias("a"), (F.col("id") % 5).alias("b"))
     scored = overlap.once(pairs, ["a", "b"], s=F.col("a") * 10 + F.col("b"))
     assert scored.count() == 1000 and scored.where("s <> a * 10 + b").count() == 0
+
+
+def test_only_wanted_blocks_are_made(spark, monkeypatch):
+    """Classes are counted when a block is made, so a block that nobody asked for must not be."""
+    made = lambda *a, **b: pytest.fail("not wanted")
+    for name in ("postal_name", "country_approx", "token_overlap", "gram_overlap"):
+        monkeypatch.setattr(retrieval, name, made)
+    s1 = spark.createDataFrame([("a", "x y", "x y", "x y", "", "", ["x", "y"], ["x", "y"], [], "fr")], "entity_id string, name string, name_heavy string, name_core string, addr string, house string, name_tokens array<string>, core_tokens array<string>, addr_tokens array<string>, country string")
+    merged, _ = retrieval.merged_blocks(s1, s1.withColumn("entity_id", F.lit("b")).withColumn("source", F.lit("S2")), ["exact_name"])
+    assert [(r.rid, r.gid, r.blocks) for r in merged.collect()] == [("a", "b", 1)]
